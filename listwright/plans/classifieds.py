@@ -32,7 +32,7 @@ from listwright.operators.document import (
     parse_html,
     text_of,
 )
-from listwright.plans.common import NA, emit, lifted, page_columns, page_title, part, required, truthy
+from listwright.plans.common import na, emit, lifted, page_columns, page_title, part, required, truthy
 from listwright.settings import CLASSIFIEDS, Site
 
 # --- fixed values: patterns of this profile ----------------------------------
@@ -113,7 +113,7 @@ def embedded_record(script: Column, site: Site = CLASSIFIEDS) -> Column:
             text("title").alias("title"),
             text("description").alias("description"),
             amount.alias("price_numeric"),
-            F.when(has_price, F.concat(price_text, F.lit(" DT"))).otherwise(NA).alias("price_raw"),
+            F.when(has_price, F.concat(price_text, F.lit(" DT"))).otherwise(na()).alias("price_raw"),
             F.lit("TND").alias("currency"),
             text("category").alias("category"),
             text("publishedOn").alias("date_posted"),
@@ -170,7 +170,7 @@ def price(pieces: Column, elements: Column, strict: bool = False) -> Column:
 
     def from_page(text: Column) -> Column:
         return F.struct(
-            F.coalesce(match(text, amount), NA).alias("price_raw"),
+            F.coalesce(match(text, amount), na()).alias("price_raw"),
             number_plain(match(text, amount, 1)).alias("price_numeric"),
             F.coalesce(currency_code(match(text, amount, 2)), F.lit("TND")).alias("currency"),
         )
@@ -188,7 +188,7 @@ def category(pieces: Column, elements: Column, url: Column) -> Column:
     from_trail = let(links, lambda a: normalise_category(F.lower(text_of(pieces, part(a, -1)))))
     marked = attr(find(elements, where=attr_exists("data-category")), "data-category")
     return F.coalesce(
-        from_trail, F.nullif(normalise_category(marked), NA), first_contained(rules.CATEGORIES, F.lower(url)), NA
+        from_trail, F.nullif(normalise_category(marked), na()), first_contained(rules.CATEGORIES, F.lower(url)), na()
     )
 
 
@@ -203,7 +203,7 @@ def location(pieces: Column, elements: Column, strict: bool = False) -> Column:
         def fields(parts: Column) -> Column:
             several = F.size(parts) >= 2
             return F.struct(
-                F.coalesce(text, NA).alias("location_raw"),
+                F.coalesce(text, na()).alias("location_raw"),
                 F.when(several, F.get(parts, 1)).otherwise(F.get(parts, 0)).alias("city"),
                 F.when(several, F.get(parts, 0)).alias("governorate"),
                 F.get(parts, 2).alias("neighborhood"),
@@ -229,7 +229,7 @@ def description(pieces: Column, elements: Column, strict: bool = False) -> Colum
         return F.when(e.isNotNull(), let(find_all(descendants(elements, e), "p"), paragraphs))
 
     meta = find(elements, "meta", where=attr_equals("property", "og:description"))
-    return F.coalesce(let(element, body), attr(meta, "content"), NA)
+    return F.coalesce(let(element, body), attr(meta, "content"), na())
 
 
 def date_posted(pieces: Column, elements: Column) -> Column:
@@ -330,27 +330,22 @@ def extract(
     ).select("seq", "url", "scraped_at", "ready", "doc.pieces", "doc.elements")
 
     p, e, url, ready = F.col("pieces"), F.col("elements"), F.col("url"), F.col("ready")
+    # without a parsed document the rules see NULL arrays and cost nothing
     ruled = parsed.select(
         "seq", "url", "scraped_at", "ready",
-        F.when(
-            ready.isNull(),
-            F.struct(
-                listing_id(url, e, site).alias("listing_id"),
-                page_title(p, e, site, skip_empty=False).alias("title"),
-                price(p, e, strict).alias("price"),
-                category(p, e, url).alias("category"),
-                location(p, e, strict).alias("place"),
-                description(p, e, strict).alias("description"),
-                date_posted(p, e).alias("date_posted"),
-                criteria(p, e).alias("criteria"),
-                images(e, site).alias("image_urls"),
-            ),
-        ).alias("m"),
+        listing_id(url, e, site).alias("listing_id"),
+        page_title(p, e, site, skip_empty=False).alias("title"),
+        price(p, e, strict).alias("price"),
+        category(p, e, url).alias("category"),
+        location(p, e, strict).alias("place"),
+        description(p, e, strict).alias("description"),
+        date_posted(p, e).alias("date_posted"),
+        criteria(p, e).alias("criteria"),
+        images(e, site).alias("image_urls"),
     )
 
     def pick(name: str, markup: str | None = None) -> Column:
-        other = F.col(f"m.{markup or name}") if markup != "" else F.lit(None)
-        return F.when(ready.isNotNull(), F.col(f"ready.{name}")).otherwise(other)
+        return F.when(ready.isNotNull(), F.col(f"ready.{name}")).otherwise(F.col(markup or name))
 
     features, pictures = pick("criteria"), pick("image_urls")
     columns = {
@@ -367,7 +362,7 @@ def extract(
         "location_raw": pick("location_raw", "place.location_raw"),
         "city": pick("city", "place.city"),
         "governorate": pick("governorate", "place.governorate"),
-        "neighborhood": F.col("m.place.neighborhood"),
+        "neighborhood": F.when(ready.isNull(), F.col("place.neighborhood")),
         **{k: lifted(features, k) for k in ("surface", "rooms", "bedrooms", "bathrooms")},
         "criteria": features,
         "image_urls": pictures,

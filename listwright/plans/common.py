@@ -13,7 +13,10 @@ from listwright.operators.document import attr, attr_equals, find, find_all, tex
 from listwright.schemas import LISTING, conform
 from listwright.settings import Site
 
-NA = F.lit(rules.MISSING)
+
+def na() -> Column:
+    """The missing sentinel."""
+    return F.lit(rules.MISSING)
 
 
 def page_columns(pages: DataFrame) -> DataFrame:
@@ -44,7 +47,7 @@ def page_title(pieces: Column, elements: Column, site: Site, skip_empty: bool) -
     else:
         shared = F.when(meta.isNotNull(), F.coalesce(shared, F.lit("")))
     tag = cut_site_name(text_of(pieces, find(elements, "title")), site)
-    return F.coalesce(heading, shared, tag, NA)
+    return F.coalesce(heading, shared, tag, na())
 
 
 def truthy(c: Column) -> Column:
@@ -105,6 +108,6 @@ def required(record: Column) -> Column:
 
 
 __all__ = [
-    "NA", "cut_site_name", "emit", "images_with_alt", "is_blank", "lifted", "lookup",
+    "na", "cut_site_name", "emit", "images_with_alt", "is_blank", "lifted", "lookup",
     "page_columns", "page_title", "part", "required", "truthy",
 ]

@@ -16,7 +16,7 @@ from listwright.functions.values import (
     number_spoken,
 )
 from listwright.operators.document import first_position, section, text_lines, with_document
-from listwright.plans.common import NA, emit, images_with_alt, lifted, page_columns, page_title, part, required
+from listwright.plans.common import na, emit, images_with_alt, lifted, page_columns, page_title, part, required
 from listwright.settings import PORTAL, Site
 
 # --- fixed values: patterns of this profile (on folded, normalised text) -------
@@ -60,7 +60,7 @@ def price(lines: Column, labels: Column) -> Column:
     def read(w: Column) -> Column:
         priced = w.isNotNull() & ~w["on_request"]
         return F.struct(
-            F.when(w["on_request"], F.lit(rules.PORTAL_NO_PRICE_RAW)).when(priced, w["line"]).otherwise(NA).alias("price_raw"),
+            F.when(w["on_request"], F.lit(rules.PORTAL_NO_PRICE_RAW)).when(priced, w["line"]).otherwise(na()).alias("price_raw"),
             F.when(priced, number_spoken(F.regexp_extract(w["folded"], PRICE_PATTERN, 1))).alias("price_numeric"),
             F.when(priced, currency_code_any_case(F.regexp_extract(w["folded"], PRICE_PATTERN, 2)))
             .otherwise(F.lit("TND")).alias("currency"),
@@ -93,7 +93,7 @@ def place_line(lines: Column, labels: Column, title: Column) -> Column:
     title_at = F.greatest(F.array_position(lines, title).cast("int"), F.lit(1))
     after_title = F.slice(pairs, title_at + 1, rules.PORTAL_PLACE_LINES_AFTER_TITLE)
     return F.coalesce(
-        let(after_title, candidate), let(F.slice(pairs, 1, rules.PORTAL_PLACE_LINES), candidate), NA
+        let(after_title, candidate), let(F.slice(pairs, 1, rules.PORTAL_PLACE_LINES), candidate), na()
     )
 
 
@@ -104,7 +104,7 @@ def split_place(raw: Column) -> Column:
         spoken = raw.rlike(PLACE_SPLIT)
         city = F.when(several, part(parts, -1)).when(spoken, strip(F.regexp_extract(raw, PLACE_SPLIT, 2)))
         quarter = F.when(several, F.get(parts, 0)).when(spoken, strip(F.regexp_extract(raw, PLACE_SPLIT, 1)))
-        known = (raw != "") & (raw != NA)
+        known = (raw != "") & (raw != na())
         return F.struct(
             F.when(known, F.coalesce(city, strip(raw))).alias("city"),
             F.when(known, city).alias("governorate"),
@@ -130,7 +130,7 @@ def description(lines: Column, labels: Column, title: Column) -> Column:
         )
         return F.array_join(F.transform(kept, lambda w: w["line"]), "\n")
 
-    return F.coalesce(F.nullif(strip(let(window, body)), F.lit("")), NA)
+    return F.coalesce(F.nullif(strip(let(window, body)), F.lit("")), na())
 
 
 def _head_text(labels: Column, n: int) -> Column:

@@ -28,7 +28,7 @@ from listwright.functions.values import (
     number_dotted,
 )
 from listwright.operators.document import find_all, joined_text, section, text_lines, text_of, with_document
-from listwright.plans.common import NA, emit, images_with_alt, lifted, page_columns, page_title, part, required
+from listwright.plans.common import na, emit, images_with_alt, lifted, page_columns, page_title, part, required
 from listwright.settings import REFLINE, Site
 
 _S = f"[{SPACE_CLASS}]"
@@ -63,7 +63,7 @@ def price(page_text: Column) -> Column:
     """Struct (price_raw, price_numeric, currency, price_period)."""
     period = F.nullif(F.lower(match(page_text, AMOUNT_PATTERN, 3)), F.lit(""))
     return F.struct(
-        F.coalesce(strip(match(page_text, AMOUNT_PATTERN)), NA).alias("price_raw"),
+        F.coalesce(strip(match(page_text, AMOUNT_PATTERN)), na()).alias("price_raw"),
         number_dotted(match(page_text, AMOUNT_PATTERN, 1)).alias("price_numeric"),
         F.coalesce(currency_code(match(page_text, AMOUNT_PATTERN, 2)), F.lit("TND")).alias("currency"),
         period.alias("price_period"),
@@ -75,7 +75,7 @@ def category(pieces: Column, elements: Column, url: Column, title: Column) -> Co
     texts = F.transform(find_all(elements, "a"), lambda a: F.lower(text_of(pieces, a)))
     renamed = F.transform(texts, lambda t: F.nullif(lookup(rules.CATEGORIES, t), t))
     words = first_contained(rules.CATEGORIES, F.lower(F.concat_ws(" ", url, title)))
-    return F.coalesce(F.get(F.filter(renamed, lambda t: t.isNotNull()), 0), words, NA)
+    return F.coalesce(F.get(F.filter(renamed, lambda t: t.isNotNull()), 0), words, na())
 
 
 def transaction(url: Column, title: Column, page_text: Column) -> Column:
@@ -108,7 +108,7 @@ def location(lines: Column, labels: Column, title: Column) -> Column:
         def fields(parts: Column) -> Column:
             n = F.size(parts)
             return F.struct(
-                F.coalesce(line, NA).alias("location_raw"),
+                F.coalesce(line, na()).alias("location_raw"),
                 F.when(n >= 3, part(parts, -2)).when(n >= 1, F.get(parts, 0)).alias("city"),
                 F.when(n >= 2, part(parts, -1)).alias("governorate"),
                 F.when(n >= 3, F.get(parts, 0)).alias("neighborhood"),
@@ -121,7 +121,7 @@ def location(lines: Column, labels: Column, title: Column) -> Column:
 
 def description(lines: Column, labels: Column) -> Column:
     body = section(lines, labels, rules.REFLINE_DESCRIPTION_START, rules.REFLINE_DESCRIPTION_END)
-    return F.coalesce(F.nullif(strip(F.array_join(body, "\n")), F.lit("")), NA)
+    return F.coalesce(F.nullif(strip(F.array_join(body, "\n")), F.lit("")), na())
 
 
 def date_posted(page_text: Column) -> Column:

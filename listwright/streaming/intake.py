@@ -12,12 +12,15 @@ from listwright.operators.store import ListingStore
 from listwright.session import scratch_path
 
 
-def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A directory (or glob) of Parquet files as a stream; schema from the files."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+def read_stream(
+    spark: SparkSession, directory: str, pattern: str = "*.parquet", files_per_trigger: int | None = None
+) -> DataFrame:
+    """Parquet files of a directory as a stream; schema from the present files."""
+    present = spark.read.option("pathGlobFilter", pattern).parquet(directory)
+    reader = spark.readStream.schema(present.schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(directory)
 
 
 def stream_extract(
