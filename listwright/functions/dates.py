@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from listwright.functions.text import SPACE_CLASS, strip
+from listwright.functions.text import SPACE_CLASS, let, strip
 
 _CLOCK = r"(?:[01][0-9]|2[0-3])(?::[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]+)?)?|[0-5][0-9](?:[0-5][0-9](?:[.,][0-9]+)?)?)?"
 _OFFSET = r"(?:Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:[.,][0-9]+)?)?)?)?"
@@ -58,10 +58,16 @@ def parse_stored(c: Column) -> Column:
 def parse_french(c: Column) -> Column:
     """d/m/y with two or four year digits; two-digit years from 69 are 19xx."""
     short = r"^([0-9]{1,2}/[0-9]{1,2}/)([0-9]{2})$"
-    year = F.regexp_extract(c, short, 2)
-    century = F.when(year >= "69", F.lit("19")).otherwise(F.lit("20"))
-    full = F.when(c.rlike(short), F.concat(F.regexp_extract(c, short, 1), century, year)).otherwise(c)
-    return F.when(full.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_date(full, "d/M/yyyy"))
+
+    def full_year(text: Column) -> Column:
+        year = F.regexp_extract(text, short, 2)
+        century = F.when(year >= "69", F.lit("19")).otherwise(F.lit("20"))
+        return F.when(text.rlike(short), F.concat(F.regexp_extract(text, short, 1), century, year)).otherwise(text)
+
+    def read(text: Column) -> Column:
+        return F.when(text.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_date(text, "d/M/yyyy"))
+
+    return let(let(c, full_year), read)
 
 
 # unit word in normalised French text -> days per unit

@@ -19,24 +19,27 @@ AMOUNT = rf"\p{{Nd}}[\p{{Nd}}{SPACE_CLASS}.,]*"
 
 def ascii_digits(c: Column) -> Column:
     """Decimal digits of other scripts as 0-9."""
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, _DIGITS, _DIGITS_ASCII)).otherwise(c)
+    return F.translate(c, _DIGITS, _DIGITS_ASCII)
+
+
+# The casts below give NULL for an empty text, so no emptiness tests are needed,
+# and each argument occurs once: inside lambdas nothing is shared.
 
 
 def number_of_digits(c: Column) -> Column:
     """All digits of a price element joined: '250.50 TND' is 25050."""
-    joined = F.regexp_replace(ascii_digits(c), r"[^0-9]", "")
-    return F.when(joined != "", joined.try_cast("double"))
+    return ascii_digits(F.regexp_replace(c, r"\P{Nd}", "")).try_cast("double")
 
 
 def number_plain(c: Column) -> Column:
     """Spaces and commas dropped, the dot is the decimal point."""
-    return strip(F.translate(ascii_digits(c), " ,", "")).try_cast("double")
+    return strip(ascii_digits(F.translate(c, " ,", ""))).try_cast("double")
 
 
 def number_dotted(c: Column) -> Column:
     """Comma and dot both are decimal points; two of them give NULL."""
-    kept = F.regexp_replace(F.translate(ascii_digits(c), ",", "."), r"[^0-9.]", "")
-    return F.when(kept != "", kept.try_cast("double"))
+    kept = F.translate(F.regexp_replace(c, r"[^\p{Nd}.,]", ""), ",", ".")
+    return ascii_digits(kept).try_cast("double")
 
 
 def number_spoken(c: Column) -> Column:
@@ -46,12 +49,12 @@ def number_spoken(c: Column) -> Column:
 
 def first_count(c: Column) -> Column:
     """First whole number: '10+' is 10."""
-    return F.nullif(F.regexp_extract(ascii_digits(c), r"[0-9]+", 0), F.lit("")).try_cast("double")
+    return ascii_digits(F.regexp_extract(c, r"\p{Nd}+", 0)).try_cast("double")
 
 
 def first_decimal(c: Column) -> Column:
     """First number with an optional fraction."""
-    return F.nullif(F.regexp_extract(ascii_digits(c), r"[0-9]+\.?[0-9]*", 0), F.lit("")).try_cast("double")
+    return ascii_digits(F.regexp_extract(c, r"\p{Nd}+\.?\p{Nd}*", 0)).try_cast("double")
 
 
 def parse_boolean(c: Column) -> Column:
@@ -94,12 +97,12 @@ def criteria_key(c: Column) -> Column:
 
 def criteria_value(key: Column, value: Column) -> Column:
     """Typed feature value in text form: '120.0', 'true', or the text itself."""
-    number = first_decimal(value)
-    return (
-        F.when(key.isin(*rules.NUMERIC_CRITERIA) & number.isNotNull(), number.cast("string"))
-        .when(key.isin(*rules.BOOLEAN_CRITERIA), parse_boolean(value).cast("string"))
-        .otherwise(value)
-    )
+    def typed(v: Column) -> Column:
+        number = F.when(key.isin(*rules.NUMERIC_CRITERIA), first_decimal(v)).cast("string")
+        flag = F.when(key.isin(*rules.BOOLEAN_CRITERIA), parse_boolean(v)).cast("string")
+        return F.coalesce(number, flag, v)
+
+    return let(value, typed)
 
 
 def looks_like_amount(c: Column) -> Column:

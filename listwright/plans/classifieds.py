@@ -168,13 +168,16 @@ def price(pieces: Column, elements: Column, strict: bool = False) -> Column:
             F.coalesce(currency_mentioned(text), F.lit("TND")).alias("currency"),
         )
 
-    def from_page(text: Column) -> Column:
+    def from_match(found: Column) -> Column:
         return F.struct(
-            F.coalesce(match(text, amount), na()).alias("price_raw"),
-            number_plain(match(text, amount, 1)).alias("price_numeric"),
-            F.coalesce(currency_code(match(text, amount, 2)), F.lit("TND")).alias("currency"),
+            F.coalesce(found, na()).alias("price_raw"),
+            number_plain(F.regexp_extract(found, amount, 1)).alias("price_numeric"),
+            F.coalesce(currency_code(F.regexp_extract(found, amount, 2)), F.lit("TND")).alias("currency"),
         )
 
+    def from_page(text: Column) -> Column:
+        return let(match(text, amount), from_match)
+
     def choose(text: Column) -> Column:
         return F.when(text.isNotNull(), from_element(text)).otherwise(let(F.array_join(pieces, ""), from_page))
 

@@ -46,19 +46,24 @@ def listing_id(url: Column, site: Site = PORTAL) -> Column:
 
 def price(lines: Column, labels: Column) -> Column:
     """Struct from the first leading line that is a price or 'price on request'."""
-    head = F.arrays_zip(lines.alias("line"), labels.alias("label"))
-    head = F.transform(
-        F.slice(head, 1, rules.PORTAL_PRICE_LINES),
-        lambda w: F.struct(
+    head = F.slice(F.arrays_zip(lines.alias("line"), labels.alias("label")), 1, rules.PORTAL_PRICE_LINES)
+
+    def is_price(w: Column) -> Column:
+        # only lines with a digit can match, so only these are folded
+        amount = w["label"].rlike("[0-9]") & ascii_fold(w["line"]).rlike(PRICE_PATTERN)
+        return w["label"].contains(rules.PORTAL_NO_PRICE) | amount
+
+    def opened(w: Column) -> Column:
+        return F.struct(
             w["line"].alias("line"),
             ascii_fold(w["line"]).alias("folded"),
             w["label"].contains(rules.PORTAL_NO_PRICE).alias("on_request"),
-        ),
-    )
-    hit = F.get(F.filter(head, lambda w: w["on_request"] | w["folded"].rlike(PRICE_PATTERN)), 0)
+        )
+
+    first = F.get(F.filter(head, is_price), 0)
 
     def read(w: Column) -> Column:
-        priced = w.isNotNull() & ~w["on_request"]
+        priced = w["line"].isNotNull() & ~w["on_request"]
         return F.struct(
             F.when(w["on_request"], F.lit(rules.PORTAL_NO_PRICE_RAW)).when(priced, w["line"]).otherwise(na()).alias("price_raw"),
             F.when(priced, number_spoken(F.regexp_extract(w["folded"], PRICE_PATTERN, 1))).alias("price_numeric"),
@@ -66,7 +71,7 @@ def price(lines: Column, labels: Column) -> Column:
             .otherwise(F.lit("TND")).alias("currency"),
         )
 
-    return let(hit, read)
+    return let(let(first, opened), read)
 
 
 def place_line(lines: Column, labels: Column, title: Column) -> Column:

@@ -61,13 +61,19 @@ def listing_id(url: Column, page_text: Column, site: Site = REFLINE) -> Column:
 
 def price(page_text: Column) -> Column:
     """Struct (price_raw, price_numeric, currency, price_period)."""
-    period = F.nullif(F.lower(match(page_text, AMOUNT_PATTERN, 3)), F.lit(""))
-    return F.struct(
-        F.coalesce(strip(match(page_text, AMOUNT_PATTERN)), na()).alias("price_raw"),
-        number_dotted(match(page_text, AMOUNT_PATTERN, 1)).alias("price_numeric"),
-        F.coalesce(currency_code(match(page_text, AMOUNT_PATTERN, 2)), F.lit("TND")).alias("currency"),
-        period.alias("price_period"),
-    )
+    def read(found: Column) -> Column:
+        # the groups are read from the short match, not from the page again
+        def group(i: int) -> Column:
+            return F.regexp_extract(found, AMOUNT_PATTERN, i)
+
+        return F.struct(
+            F.coalesce(strip(found), na()).alias("price_raw"),
+            number_dotted(group(1)).alias("price_numeric"),
+            F.coalesce(currency_code(group(2)), F.lit("TND")).alias("currency"),
+            F.nullif(F.lower(group(3)), F.lit("")).alias("price_period"),
+        )
+
+    return let(match(page_text, AMOUNT_PATTERN), read)
 
 
 def category(pieces: Column, elements: Column, url: Column, title: Column) -> Column:

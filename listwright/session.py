@@ -57,11 +57,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a narrow scan at least one task per core before heavy per-row work.
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a plain table scan at least one task per core before heavy row work.
 
     Large tables have more splits than cores and pass unchanged; only a table
-    of few files is redistributed.
+    of few splits is redistributed.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

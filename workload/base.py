@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from listwright.session import spread
+
 # listings with every defect the curation rules look for
 LISTINGS_SQL = """
 SELECT o_orderkey AS seq,
@@ -69,8 +71,12 @@ def on_duckdb(sql: str) -> str:
     return sql
 
 
-def on_spark(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in _NAMES})
+def on_spark(spark: SparkSession, sf_dir: str, sql: str, wide: bool = False) -> DataFrame:
+    """``wide`` spreads the orders when heavy work per row follows."""
+    tables = {name: table(spark, sf_dir, name) for name in _NAMES}
+    if wide:
+        tables["orders"] = spread(tables["orders"])
+    return spark.sql(sql, **tables)
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,4 +84,4 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return on_spark(spark, sf_dir, FACTS_SQL)
+    return on_spark(spark, sf_dir, FACTS_SQL, wide=True)

@@ -113,7 +113,7 @@ ORACLE["report_doc"] = f"""SELECT (SELECT count(*) FROM ({L})) AS total_listings
  CAST(NULL AS BIGINT) AS no_such_category,
  CAST((SELECT count(*) FROM ({ORACLE['top_cities']})) AS INTEGER) AS cities,
  (SELECT quality_score FROM ({_summary(LC)})) AS quality_score, '1997-01-01' AS min_date_posted"""
-ORACLE["price_per_sqm"] = f"""SELECT seq, round(CASE WHEN surface <> 0 AND price_numeric <> 0 THEN price_numeric / surface END, 4)
+ORACLE["price_per_sqm"] = f"""SELECT seq, CASE WHEN surface <> 0 AND price_numeric <> 0 THEN price_numeric / surface END
  AS price_per_sqm FROM ({L})"""
 _FLAT_EXTRA = """to_json([listing_url]) AS image_urls, CASE WHEN seq % 3 = 0 THEN CAST(seq % 12 AS VARCHAR) END AS criteria_floor,
  CASE WHEN seq % 4 = 0 THEN '["Garage"]' END AS criteria_options"""

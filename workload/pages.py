@@ -124,7 +124,7 @@ _PAGES = {"classifieds": (URL_1, PAGE_1), "refline": (URL_2, PAGE_2), "portal":
 def detail_pages(spark: SparkSession, sf_dir: str, profile: str) -> DataFrame:
     """Page table (seq, url, html, fetched_at) of one profile."""
     url, html = _PAGES[profile]
-    return spread(facts(spark, sf_dir)).select(
+    return facts(spark, sf_dir).select(
         F.col("k").alias("page_id"), F.col("k").alias("seq"), F.expr(url).alias("url"), F.expr(html).alias("html"),
         F.col("fetched_at").cast("timestamp").alias("fetched_at"),
     )

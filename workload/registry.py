@@ -162,7 +162,7 @@ def report_doc(spark, sf_dir):
 @query
 def price_per_sqm(spark, sf_dir):
     rows = listings(spark, sf_dir)
-    return rows.select("seq", F.round(curate.price_per_sqm(rows), 4).alias("price_per_sqm"))
+    return rows.select("seq", curate.price_per_sqm(rows).alias("price_per_sqm"))
 
 
 def _with_criteria(rows: DataFrame) -> DataFrame:
@@ -316,7 +316,7 @@ def store_top_cities(spark, sf_dir):
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: Column) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", *columns)
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", *columns)
 
 
 @query
