@@ -95,6 +95,19 @@ def portal_label(c: Column) -> Column:
     return normalise_label(c, PORTAL_KEEP)
 
 
+def normalise_lines(lines: Column, keep: str) -> Column:
+    """:func:`normalise_label` of every line, done on the joined text at once.
+
+    One pass over a page instead of one per line; lines hold no newline, so the
+    positions stay parallel.
+    """
+    t = F.lower(ascii_fold(F.array_join(lines, "\n")))
+    t = F.regexp_replace(t, rf"[^\w\s\x1c-\x1f{keep}]", "")
+    t = F.regexp_replace(t, r"[ \t\x0b\f\r\x1c-\x1f]+", " ")
+    t = F.trim(F.replace(F.replace(t, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
+    return F.when(F.size(lines) > 0, F.split(t, "\n")).otherwise(F.slice(lines, 1, 0))
+
+
 def slugify(c: Column) -> Column:
     """A human place name as a URL slug."""
     t = F.regexp_replace(ascii_fold(c), r"[^a-zA-Z0-9]+", "-")
@@ -130,5 +143,5 @@ def present(c: Column) -> Column:
 
 
 def match(c: Column, pattern: str, group: int = 0) -> Column:
-    """Regex group of the first match, NULL (not '') when nothing matches."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+    """Regex group of the first match, NULL (not '') when it is empty or absent."""
+    return let(F.regexp_extract(c, pattern, group), lambda found: F.when(found != "", found))

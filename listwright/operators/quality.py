@@ -74,7 +74,7 @@ def quality_summary(df: DataFrame, extra: list[Rule] | None = None) -> DataFrame
     per_kind = {k: total([F.col(f"_r{i}") for i, r in enumerate(applied) if r.issue == k]) for k in kinds}
     lost = total([F.col(f"_r{i}") * r.half_points for i, r in enumerate(applied)])
     worst = F.col("total_listings") * rules.HALF_POINTS_PER_LISTING
-    score = F.round(F.greatest(F.lit(0.0), F.lit(100.0) - lost.cast("double") / worst * 100), 2)
+    score = F.round(F.greatest(F.lit(0.0), F.lit(100.0) - F.try_divide(lost.cast("double"), worst) * 100), 2)
     return sums.select(
         "total_listings",
         *(c.alias(k) for k, c in per_kind.items()),

@@ -20,7 +20,7 @@ def completeness(df: DataFrame, fields=rules.COMPLETENESS_FIELDS) -> DataFrame:
     """Filled count and percentage per field: (field, filled, percentage)."""
     counts = df.agg(F.count(F.lit(1)).alias("_n"), *(F.count_if(_filled(f)).alias(f) for f in fields))
     long = counts.unpivot("_n", list(fields), "field", "filled")
-    return long.select("field", "filled", F.round(F.col("filled") / F.col("_n") * 100, 2).alias("percentage"))
+    return long.select("field", "filled", F.round(F.try_divide("filled", "_n") * 100, 2).alias("percentage"))
 
 
 # --- exact median ----------------------------------------------------------------

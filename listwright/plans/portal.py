@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 from listwright import rules
 from listwright.functions.dates import iso_text, parse_french, parse_relative_french
-from listwright.functions.text import SPACE_CLASS, ascii_fold, let, lookup, match, portal_label, stable_id, strip
+from listwright.functions.text import (
+    PORTAL_KEEP,
+    SPACE_CLASS,
+    ascii_fold,
+    let,
+    lookup,
+    match,
+    normalise_lines,
+    portal_label,
+    stable_id,
+    strip,
+)
 from listwright.functions.values import (
     currency_code_any_case,
     entry,
@@ -147,7 +158,7 @@ def criteria(lines: Column, labels: Column) -> Column:
     """Numbers in the leading text, label/value lines and option flags."""
     numbers = let(
         _head_text(labels, rules.PORTAL_CRITERIA_LINES),
-        lambda t: F.array(*(entry(k, number_dotted(match(t, p, 1))) for k, p in CRITERIA_PATTERNS.items())),
+        lambda t: F.array(*(entry(k, number_dotted(F.regexp_extract(t, p, 1))) for k, p in CRITERIA_PATTERNS.items())),
     )
     pairs = section(
         F.arrays_zip(lines.alias("line"), labels.alias("label")), labels,
@@ -209,7 +220,7 @@ def extract(
     )
     read = with_document(searched).withColumns(
         {"title": page_title(p, e, site, skip_empty=True), "lines": text_lines(p)}
-    ).withColumn("labels", F.transform(lines, portal_label))
+    ).withColumn("labels", normalise_lines(lines, PORTAL_KEEP))
     ruled = read.select(
         "seq", "url", "scraped_at", "title", "category", "transaction_type",
         price(lines, labels).alias("price"),

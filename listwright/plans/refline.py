@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from listwright import rules
 from listwright.functions.dates import iso_text, parse_french
 from listwright.functions.text import (
+    REFLINE_KEEP,
     SPACE_CLASS,
     WORD_CLASS,
     first_contained,
     let,
     lookup,
     match,
+    normalise_lines,
     refline_label,
     stable_id,
     strip,
@@ -152,8 +154,8 @@ def options(lines: Column, labels: Column) -> Column:
 
 def criteria(page_text: Column, chosen: Column, period: Column) -> Column:
     """Detail numbers, options as JSON text, option flags and the price period."""
-    numbers = [entry(k, first_count(match(page_text, p, 1))) for k, p in COUNT_PATTERNS.items()]
-    numbers += [entry(k, number_dotted(match(page_text, p, 1))) for k, p in SIZE_PATTERNS.items()]
+    numbers = [entry(k, first_count(F.regexp_extract(page_text, p, 1))) for k, p in COUNT_PATTERNS.items()]
+    numbers += [entry(k, number_dotted(F.regexp_extract(page_text, p, 1))) for k, p in SIZE_PATTERNS.items()]
     has_options = F.size(chosen) > 0
     label = refline_label(F.array_join(chosen, " "))
     flags = let(
@@ -169,7 +171,8 @@ def images(elements: Column, title: Column, site: Site = REFLINE) -> Column:
     """Pictures whose alt text, if any, contains the title."""
     def with_title(label: Column) -> Column:
         def fits(alt: Column) -> Column:
-            return let(refline_label(alt), lambda a: (a == "") | (label == "na") | a.contains(label))
+            labelled = let(refline_label(alt), lambda a: (a == "") | (label == "na") | a.contains(label))
+            return F.when(alt == "", F.lit(True)).otherwise(labelled)
 
         return images_with_alt(elements, fits, site)
 
@@ -187,7 +190,7 @@ def extract(pages: DataFrame, site: Site = REFLINE, validate: bool = True, **_)
             "page_text": joined_text(p, " "),
             "lines": text_lines(p),
         }
-    ).withColumn("labels", F.transform(lines, refline_label))
+    ).withColumn("labels", normalise_lines(lines, REFLINE_KEEP))
     ruled = read.select(
         "seq", "url", "scraped_at", "title", "page_text",
         listing_id(url, text, site).alias("listing_id"),

@@ -480,7 +480,7 @@ def next_data(spark, sf_dir):
 def section_slice(spark, sf_dir):
     doc = document.with_document(detail_pages(spark, sf_dir, "portal").select("seq", "html"))
     lines = doc.select("seq", document.text_lines(F.col("pieces")).alias("lines")).withColumn(
-        "labels", F.transform("lines", text.portal_label)
+        "labels", text.normalise_lines(F.col("lines"), text.PORTAL_KEEP)
     )
     cut = document.section(F.col("lines"), F.col("labels"), ("caracteristiques generales",), ("voir la carte",))
     return lines.select("seq", F.array_join(cut, "|").alias("section"))
@@ -490,7 +490,7 @@ def section_slice(spark, sf_dir):
 def options(spark, sf_dir):
     doc = document.with_document(detail_pages(spark, sf_dir, "refline").select("seq", "html"))
     lines = doc.select("seq", document.text_lines(F.col("pieces")).alias("lines")).withColumn(
-        "labels", F.transform("lines", text.refline_label)
+        "labels", text.normalise_lines(F.col("lines"), text.REFLINE_KEEP)
     )
     return lines.select("seq", F.array_join(refline.options(F.col("lines"), F.col("labels")), "|").alias("options"))
 
