@@ -233,12 +233,13 @@ class ListingStore:
     """A store as a view over numbered tables, bucketed by listing id.
 
     Bucketing means that a merge shuffles only the batch: the target side is
-    already partitioned by the key, and so is the result that is written.
+    already partitioned by the key.  Spark uses the buckets when they are not
+    fewer than ``spark.sql.shuffle.partitions``, the default number.
     """
 
     spark: SparkSession
     name: str
-    buckets: int = 64
+    buckets: int | None = None
     keep: int = 2
 
     def _version(self) -> int:
@@ -263,9 +264,10 @@ class ListingStore:
         version = self._version() + 1
         table = f"{self.name}_v{version}"
         rows = conform(df, STORED)
+        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (
-            rows.repartition(self.buckets, KEY)
-            .write.bucketBy(self.buckets, KEY).sortBy(KEY).mode("errorifexists").saveAsTable(table)
+            rows.repartition(buckets, KEY)
+            .write.bucketBy(buckets, KEY).sortBy(KEY).mode("errorifexists").saveAsTable(table)
         )
         self.spark.sql(f"CREATE OR REPLACE TEMP VIEW {self.name} AS SELECT * FROM {table}")
         old = version - self.keep

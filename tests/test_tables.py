@@ -123,7 +123,7 @@ def test_merge_equals_row_by_row_upserts(spark, flavour, update):
 
 
 def test_store_versions_switch_and_flavours(spark):
-    keep = ListingStore(spark, "listings_test", buckets=4)
+    keep = ListingStore(spark, "listings_test")
     stamp = F.lit("2024-02-02").cast("timestamp")
     rows = [(1, "a", "T", "d", 1.0), (2, "b", "T", "d", 2.0), (3, "a", "T", "e", 3.0)]
     df = spark.createDataFrame(rows, "seq long, listing_id string, title string, description string, price_numeric double")
