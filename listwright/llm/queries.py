@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listwright.llm import bpe, packing, pii, simhash, token_counts
+from listwright.llm import bpe, packing, pii, simhash, spotsigs, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op4_token_counts, op7_simhash, op8_pii)}
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op4_token_counts, op7_simhash, op8_pii, op9_spotsigs)}
 
 ORACLE: dict[str, str] = {}
