@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listwright.llm import bpe, packing, pii, simhash, spotsigs, token_counts
+from listwright.llm import bpe, packing, pii, secret_scan, simhash, spotsigs, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.summary(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,6 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op4_token_counts, op7_simhash, op8_pii, op9_spotsigs)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op4_token_counts, op6_secrets, op7_simhash, op8_pii, op9_spotsigs)}
 
 ORACLE: dict[str, str] = {}

@@ -12,54 +12,24 @@ never changes a count.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listwright.llm import worker
 from listwright.llm.bpe import tokenizer
-
-
-class _Summary:
-    """Misra-Gries counts of at least all items above 1/size of the stream."""
-
-    def __init__(self, size: int) -> None:
-        self.size, self.seen, self.taken, self.counts = size, 0, 0, Counter()
-
-    def add(self, items: list[str]) -> None:
-        self.seen += len(items)
-        self.counts.update(items)
-        if len(self.counts) > 2 * self.size:
-            least = sorted(self.counts.values(), reverse=True)[self.size]
-            self.taken += least
-            self.counts = Counter({k: n - least for k, n in self.counts.items() if n > least})
-
-    def heavy(self, share: float) -> dict[str, int]:
-        """Items that may have `share` of the stream, with the most they can have."""
-        return {k: n + self.taken for k, n in self.counts.items() if n + self.taken >= share * self.seen}
+from listwright.llm.frequent import frequent
 
 
 def frequent_lengths(docs: DataFrame, path: str, text: str = "text", min_share: float = 1e-4, table_limit: int = 65_536) -> dict[str, int]:
     """Token lengths of the most frequent pre-tokens of column `text`."""
-    size = int(2 / min_share)
+    def pieces_of(t: str) -> list[str]:
+        bpe = tokenizer(path)
+        return [p for plain, _ in bpe.segments(t) for p in bpe.split(plain)]
 
-    def summarise(batches):
-        bpe, summary = tokenizer(path), _Summary(size)
-        for batch in batches:
-            for t in worker.texts(batch.column(0)):
-                for plain, _ in bpe.segments(t):
-                    summary.add(bpe.split(plain))
-        heavy = summary.heavy(min_share)
-        pieces = list(heavy)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(pieces, pa.string()), pa.array([heavy[p] for p in pieces], pa.int64()), pa.array([len(bpe.encode_piece(p)) // 4 for p in pieces], pa.int32())],
-            names=["piece", "n", "size"])
-
-    found = docs.select(text).mapInArrow(summarise, "piece string, n long, size int")
-    top = found.groupBy("piece").agg(F.sum("n").alias("n"), F.first("size").alias("size")).orderBy(F.desc("n"), "piece").limit(table_limit)
-    return {r["piece"]: r["size"] for r in top.collect()}
+    found = frequent(docs, text, pieces_of, min_share, table_limit)
+    bpe = tokenizer(path)
+    return {p: len(bpe.encode_piece(p)) // 4 for p in found}
 
 
 class _Lengths(dict):
