@@ -31,6 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listwright.llm import worker
 
@@ -76,7 +77,7 @@ class _Pieces(dict):
 class ByteBpe:
     """A byte-level BPE of a tokenizers JSON file."""
 
-    def __init__(self, path: str, cache: int = 400_000) -> None:
+    def __init__(self, path: str, cache: int = 1_000_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -247,7 +248,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     unchanged. A column already named `ids` is replaced.
     """
     kept = [c for c in docs.columns if c != ids]
-    fields = docs.select(*kept).schema.add(ids, "array<int>")
+    fields = docs.select(*kept).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def run(batches):
         bpe = tokenizer(path)

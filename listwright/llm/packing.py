@@ -59,7 +59,7 @@ def powers_of_two(pieces: list[Piece], limit: int) -> Iterator[list[Piece]]:
 class Packer:
     """Packs the pieces of one partition."""
 
-    def __init__(self, max_tokens: int, max_segments: int, max_loss: int, pool: int = 4096) -> None:
+    def __init__(self, max_tokens: int, max_segments: int, max_loss: int, pool: int = 1024) -> None:
         if min(max_tokens, max_segments) < 1 or max_loss < 0:
             raise ValueError("a sequence needs room for a token and a segment")
         self.capacity = np.array([max_tokens, max_segments, max_loss])
