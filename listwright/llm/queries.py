@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from listwright.llm import bpe, packing, pii, secret_scan, simhash, spotsigs, token_counts
+from listwright.llm import bpe, packing, pii, secret_scan, simhash, spotsigs, token_counts, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,19 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op4_token_counts, op6_secrets, op7_simhash, op8_pii, op9_spotsigs)}
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
-ORACLE: dict[str, str] = {}
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op4_token_counts, op6_secrets, op7_simhash, op8_pii, op9_spotsigs, op10_topk)}
+
+ORACLE: dict[str, str] = {
+    "op10_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+        SELECT q.vec_id AS query_id, (row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.e, p.e) DESC, p.vec_id))::INTEGER AS rank,
+               p.vec_id AS vec_id, list_dot_product(q.e, p.e)::BIGINT AS score
+        FROM v q JOIN v p ON q.vec_id % 50 = 0 AND p.vec_id <> q.vec_id
+        QUALIFY rank <= 5
+    """,
+}
