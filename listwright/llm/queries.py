@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, packing, pii, secret_scan, simhash, spotsigs, token_counts, topk
+from listwright.llm import bpe, langid, packing, pii, secret_scan, sharding, simhash, spotsigs, token_counts, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +25,32 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs), host=F.col("source"))
+    return found.select("doc_id", "language", "confidence")
+
+
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language identification with all kinds of evidence, over raw pages."""
+    pages = langid.page_evidence(table(spark, sf_dir, "pages"))
+    evidence = {c: F.col(c) for c in ("host", "domain", "declared", "suffix")}
+    found = langid.identify(pages, langid.train(table(spark, sf_dir, "documents")), **evidence)
+    return found.select("page_id", "host", "declared", "language", "confidence")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+SHARDS = [f"shard-{i:02d}" for i in range(64)]
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(table(spark, sf_dir, "documents"), "doc_id", SHARDS)
+    return placed.select("doc_id", "slot", "shard")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.summary(table(spark, sf_dir, "documents"))
 
@@ -49,9 +71,15 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op4_token_counts, op6_secrets, op7_simhash, op8_pii, op9_spotsigs, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_language_id, page_languages, op4_token_counts, op5_sharding, op6_secrets, op7_simhash, op8_pii, op9_spotsigs, op10_topk)}
 
 ORACLE: dict[str, str] = {
+    # the lookup table is stated; the placement is worked out from the keys
+    "op5_sharding": f"""
+        WITH t AS (SELECT string_split('{','.join(map(str, sharding.lookup_table(SHARDS)))}', ',') AS shards),
+             d AS (SELECT doc_id, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % {sharding.SIZE} AS slot FROM documents)
+        SELECT doc_id, slot, shards[slot + 1]::INTEGER AS shard FROM d, t
+    """,
     "op10_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
                    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)

@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listwright.llm import worker
@@ -187,6 +187,19 @@ def links(fps: DataFrame, max_distance: int = 4, block: int = 2048) -> DataFrame
     return grouped.repartition("group").sortWithinPartitions("group").mapInPandas(compare, "a long, b long")
 
 
+def _classes(docs: DataFrame, key: str, text: str, words: int, max_distance: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(key, fp) of each row, and (class_fp, component, component_id) of each distinct fingerprint."""
+    rows = cut_lineage(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), words=words, seed=seed))
+    classes = cut_lineage(rows.groupBy("fp").agg(F.min("key").alias("least")))
+    of_class = components(links(classes, max_distance))
+    named = classes.join(of_class, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    # only components of several classes need their least key worked out
+    several = named.join(named.where("fp != component").select("component").distinct(), "component", "left_semi")
+    least = several.groupBy("component").agg(F.min("least").alias("component_id"))
+    ids = named.join(least, "component", "left").select(F.col("fp").alias("class_fp"), "component", F.coalesce("component_id", "least").alias("component_id"))
+    return rows, ids
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, max_distance: int = 4, seed: int = 42) -> DataFrame:
     """Per row of `docs`: key, fingerprint (16 hex digits), component_id.
 
@@ -196,14 +209,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     component's least unless all keys in it are null. Repeated rows give
     repeated results with one component; an empty table gives none.
     """
-    rows = cut_lineage(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text"))))
-    classes = cut_lineage(rows.groupBy("fp").agg(F.min("key").alias("least")))
-    of_class = components(links(classes, max_distance))
-    named = classes.join(of_class, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    joined = named.where(F.col("fp") != F.col("component")).select("component").distinct()
-    # only components of several classes need their least key worked out
-    several = named.join(joined, "component", "left_semi")
-    least = several.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "component", "left").select(F.col("fp").alias("class_fp"), F.coalesce("component_id", "least").alias("component_id"))
+    rows, ids = _classes(docs, key, text, words, max_distance, seed)
     return rows.join(ids, F.col("fp") == F.col("class_fp")).select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, max_distance: int = 4, seed: int = 42) -> DataFrame:
+    """One row of each component of `near_duplicates`, whole: the one with the least key.
+
+    Rows without a key stay only where no other row of their component has
+    one. Rows that repeat the least key go by the fingerprint and then by the
+    text's hash.
+    """
+    rows, ids = _classes(docs, key, text, words, max_distance, seed)
+    first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "fp")).alias("first")
+    kept = rows.join(ids, F.col("fp") == F.col("class_fp")).groupBy("component").agg(first).select(F.col("first.key").alias("kept_key"), F.col("first.fp").alias("kept_fp"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    tagged = fingerprints(whole, words=words, seed=seed)
+    matched = tagged.join(kept, F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("fp") == F.col("kept_fp")))
+    rank = F.row_number().over(Window.partitionBy("key", "fp").orderBy(F.xxhash64(F.col("row")[text])))
+    return matched.withColumn("rank", rank).where("rank = 1").select("row.*")
