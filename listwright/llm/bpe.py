@@ -248,7 +248,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     unchanged. A column already named `ids` is replaced.
     """
     kept = [c for c in docs.columns if c != ids]
-    fields = docs.select(*kept).schema.add(ids, T.ArrayType(T.IntegerType()))
+    fields = docs.select(*worker.columns(kept)).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def run(batches):
         bpe = tokenizer(path)
@@ -258,7 +258,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             values = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, values)], names=[*kept, ids])
 
-    return docs.select(*kept).mapInArrow(run, fields)
+    return docs.select(*worker.columns(kept)).mapInArrow(run, fields)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -268,7 +268,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     the vocabulary spell nothing; bytes that are no UTF-8 read as U+FFFD.
     """
     kept = [c for c in rows.columns if c != text]
-    fields = rows.select(*kept).schema.add(text, "string")
+    fields = rows.select(*worker.columns(kept)).schema.add(text, "string")
 
     def run(batches):
         bpe = tokenizer(path)
@@ -276,7 +276,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
             spelled = [bpe.decode(np.array([i for i in r.as_py() or [] if i is not None and i >= 0], dtype=np.int64)).decode(errors="replace") for r in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spelled, pa.string())], names=[*kept, text])
 
-    return rows.select(*kept).mapInArrow(run, fields)
+    return rows.select(*worker.columns(kept)).mapInArrow(run, fields)
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -168,7 +168,7 @@ def identify(
     table = priors(docs, model, host, domain, text, strength, temper)
     base = table.where("host IS NULL").first()["prior"]
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("t"), host.cast("string").alias("own_host"),
+        F.struct(*worker.columns(names)).alias("row"), F.col(text).alias("t"), host.cast("string").alias("own_host"),
         (null if declared is None else F.lower(declared)).alias("declared"), (null if suffix is None else F.lower(suffix)).alias("suffix"))
     joined = rows.join(table.where("host IS NOT NULL"), F.col("own_host") == F.col("host"), "left").select("row", "t", "declared", "suffix", "prior")
     shared = docs.sparkSession.sparkContext.broadcast(model)

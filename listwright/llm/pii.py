@@ -15,6 +15,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listwright.llm import worker
+
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 CONTEXT = 40  # characters before and after a span that are searched for context words
 
@@ -113,7 +115,7 @@ def find(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
     names; a column named `out` is replaced.
     """
     names = [c for c in docs.columns if c != out]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = docs.select(F.struct(*worker.columns(names)).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     parts = {}
     for k in KINDS:
         possible = F.col("t").contains(k.hint) if k.hint else F.lit(True)
@@ -153,7 +155,7 @@ def redact(docs: DataFrame, text: str = "text", least_score: float = 0.4) -> Dat
     texts without such spans stay as they are; other columns pass unchanged.
     """
     names = docs.columns
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text"))
+    source = docs.select(F.struct(*worker.columns(names)).alias("row"), F.col(text).alias("text"))
     found = find(source)
     spans = F.array_sort(F.transform(F.filter("pii", lambda s: s["score"] >= least_score), lambda s: F.struct(s["start"], s["end"], s["kind"])))
 

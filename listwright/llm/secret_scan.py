@@ -118,7 +118,7 @@ def scan(docs: DataFrame, text: str = "text", out: str = "secrets", least_novelt
             spans = [scanner.spans(t) for t in worker.texts(batch.column(text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, kind)], names=[*names, out])
 
-    kept = docs.select(*names)
+    kept = docs.select(*worker.columns(names))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return kept.mapInArrow(run, f"{fields}, `{out}` {SPANS}")
 

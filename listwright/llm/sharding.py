@@ -18,6 +18,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listwright.llm import worker
+
 SIZE = 8191  # a prime, over a hundred slots for each of 64 shards
 
 
@@ -62,8 +64,8 @@ def place(rows: DataFrame, key: str, shards: list[str], size: int = SIZE) -> Dat
     an empty table gives none.
     """
     names = [c for c in rows.columns if c not in ("slot", "shard")]
-    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]))
-    keyed = rows.select(*[F.col(f"`{c}`") for c in names], slot_of(F.coalesce(F.col(f"`{key}`").cast("string"), whole), size).alias("slot"))
+    whole = F.to_json(F.struct(*worker.columns(names)))
+    keyed = rows.select(*worker.columns(names), slot_of(F.coalesce(F.col(f"`{key}`").cast("string"), whole), size).alias("slot"))
     table = F.broadcast(table_frame(rows.sparkSession, shards, size))
     return keyed.join(table, F.col("slot") == F.col("place")).drop("place")
 

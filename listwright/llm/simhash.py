@@ -58,8 +58,8 @@ def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
     """The columns of `docs` but `text`, and `fp` long (the bits as a signed integer)."""
     others = [c for c in docs.columns if c not in (text, "fp")]
-    source = docs.select(*others, F.col(text).alias("fp"))
-    schema = docs.select(*others).schema.add("fp", "long")
+    source = docs.select(*worker.columns(others), F.col(text).alias("fp"))
+    schema = docs.select(*worker.columns(others)).schema.add("fp", "long")
 
     def run(batches):
         for batch in batches:
@@ -224,7 +224,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     rows, ids = _classes(docs, key, text, words, max_distance, seed)
     first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "fp")).alias("first")
     kept = rows.join(ids, F.col("fp") == F.col("class_fp")).groupBy("component").agg(first).select(F.col("first.key").alias("kept_key"), F.col("first.fp").alias("kept_fp"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    whole = docs.select(F.struct(*worker.columns(docs.columns)).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
     tagged = fingerprints(whole, words=words, seed=seed)
     matched = tagged.join(kept, F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("fp") == F.col("kept_fp")))
     rank = F.row_number().over(Window.partitionBy("key", "fp").orderBy(F.xxhash64(F.col("row")[text])))

@@ -94,7 +94,7 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "signatures", c
             values = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, values)], names=[*names, out])
 
-    return docs.select(*names).mapInArrow(run, docs.select(*names).schema.add(out, T.ArrayType(T.LongType())))
+    return docs.select(*worker.columns(names)).mapInArrow(run, docs.select(*worker.columns(names)).schema.add(out, T.ArrayType(T.LongType())))
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, chain: int = 2) -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from typing import Any
 
 import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 
 def kept(key: tuple, make: Callable[[], Any]) -> Any:
@@ -26,3 +28,8 @@ def texts(column: pa.Array | pa.ChunkedArray):
     """The texts of a column one at a time; null reads as the empty text."""
     for value in column:
         yield value.as_py() or ""
+
+
+def columns(names: list[str]) -> list[Column]:
+    """Columns by their exact names, whatever characters they hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
