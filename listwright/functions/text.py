@@ -68,8 +68,13 @@ def ascii_fold(c: Column) -> Column:
     expansions = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
 
     def spell_out(plain: Column) -> Column:
-        letters = F.transform(F.split(plain, ""), lambda ch: F.coalesce(F.try_element_at(expansions, ch), ch))
-        return F.when(plain.rlike(several), F.array_join(letters, "")).otherwise(plain)
+        # only the characters that may expand are looked up, not those between them
+        found = F.regexp_extract_all(plain, F.lit(several), F.lit(0))
+        joined = F.zip_with(
+            F.split(plain, several, -1), found,
+            lambda text, ch: F.concat(text, F.coalesce(F.try_element_at(expansions, ch), ch, F.lit(""))),
+        )
+        return F.when(plain.rlike(several), F.array_join(joined, "")).otherwise(plain)
 
     full = F.regexp_replace(let(F.translate(c, single_from, single_to), spell_out), r"[^\x00-\x7F]", "")
     return F.when(c.rlike(r"[^\x00-\x7F]"), full).otherwise(c)
@@ -127,9 +132,9 @@ def slug_path(c: Column) -> Column:
     return F.array_join(F.transform(segments, slugify), "/")
 
 
-def stable_id(url: Column, prefix: str) -> Column:
-    """Generated listing id: prefix + first 12 hex digits of the URL's MD5."""
-    return F.concat(F.lit(prefix), F.substring(F.md5(url), 1, 12))
+def stable_id(url: Column, prefix: str, digits: int = 32) -> Column:
+    """Generated listing id: prefix + hex digits of the URL's MD5, all of them unless told otherwise."""
+    return F.concat(F.lit(prefix), F.substring(F.md5(url), 1, digits))
 
 
 def lookup(table: dict[str, str], key: Column) -> Column:

@@ -149,18 +149,31 @@ def first_position(labels: Column, wanted: tuple[str, ...]) -> Column:
     return F.array_position(F.transform(labels, lambda label: label.isin(*wanted)), True).cast("int")
 
 
+def up_to_label(pairs: Column, ends: tuple[str, ...]) -> Column:
+    """The (line, label) pairs before the first whose label is an end."""
+    def cut(ps: Column) -> Column:
+        stop = first_position(F.transform(ps, lambda p: p["label"]), ends)
+        return F.when(stop > 0, F.slice(ps, F.lit(1), stop - 1)).otherwise(ps)
+
+    return let(pairs, cut)
+
+
 # --- relational form -----------------------------------------------------------
 
 
 def nodes(pages: DataFrame, key: str = "page_id", html: str = "html", attributes=None) -> DataFrame:
     """One row per element (schema B5), for ad-hoc selector queries."""
     parsed = pages.select(key, parse_html(F.col(html), attributes).alias("_doc")).select(key, "_doc.*")
-    return parsed.select(key, "pieces", F.explode("elements").alias("e")).select(
-        key,
-        F.col("e.pos").alias("pos"),
-        F.col("e.end").alias("end_pos"),
-        F.col("e.tag").alias("tag"),
-        F.col("e.attrs").alias("attrs"),
-        F.split(attr(F.col("e"), "class"), " ").alias("classes"),
-        text_of(F.col("pieces"), F.col("e")).alias("text"),
-    )
+
+    def row(e: Column) -> Column:
+        # the texts are cut out here, so that no element row carries the page
+        return F.struct(
+            e["pos"].alias("pos"),
+            e["end"].alias("end_pos"),
+            e["tag"].alias("tag"),
+            e["attrs"].alias("attrs"),
+            F.split(attr(e, "class"), " ").alias("classes"),
+            text_of(F.col("pieces"), e).alias("text"),
+        )
+
+    return parsed.select(key, F.inline(F.transform("elements", row)))

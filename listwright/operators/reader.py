@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -10,7 +11,11 @@ from listwright.rules import SILENT_TAGS, VERBATIM_TAGS, VOID_TAGS
 
 
 class PageReader(HTMLParser):
-    """Feeds the open-element stack; end tags close everything above them."""
+    """Feeds the open-element stack; end tags close everything above them.
+
+    Counts of the open elements by name answer in constant time whether an end
+    tag closes anything and whether text stands below a verbatim element.
+    """
 
     def __init__(self, html: str, attributes: frozenset[str] | None):
         super().__init__(convert_charrefs=True)
@@ -19,16 +24,25 @@ class PageReader(HTMLParser):
         self.rows: list[list] = []  # tag, attrs, first, last, end, sole
         self.kids: list[int] = []
         self.open: list[int] = []
+        self.open_by_tag: Counter[str] = Counter()
+        self.verbatim = 0
         self.text: list[str] = []
         self.silent = 0
-        try:
-            self.feed(html)
-            self.close()
-        except AssertionError:  # malformed marked section: keep what was read
-            pass
+        self.feed(html)
+        self.close()
         self._flush()
         self._close_down_to(0)
 
+    def parse_marked_section(self, i, report=1):
+        """As the base does; an unknown section is skipped up to its end."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            end = self.rawdata.find(">", i)
+            if end >= 0:
+                self._other_node(self.rawdata[i:end])
+            return end + 1 if end >= 0 else -1
+
     def _child(self, piece: int) -> None:
         """Count a child of the innermost element; ``piece`` < 0 if not text."""
         if self.open:
@@ -46,7 +60,7 @@ class PageReader(HTMLParser):
         if self.silent:
             self._child(-1)
             return
-        if text.isspace() and not any(self.rows[i][0] in VERBATIM_TAGS for i in self.open):
+        if text.isspace() and not self.verbatim:
             text = "\n" if "\n" in text else " "
         self.pieces.append(text)
         self._child(len(self.pieces) - 1)
@@ -56,8 +70,9 @@ class PageReader(HTMLParser):
             i = self.open.pop()
             row = self.rows[i]
             row[3], row[4] = len(self.pieces), len(self.rows)
-            if row[0] in SILENT_TAGS:
-                self.silent -= 1
+            self.open_by_tag[row[0]] -= 1
+            self.silent -= row[0] in SILENT_TAGS
+            self.verbatim -= row[0] in VERBATIM_TAGS
             # a single child element lends its own single text to the parent
             if self.open and self.kids[self.open[-1]] == 1:
                 self.rows[self.open[-1]][5] = row[5]
@@ -71,8 +86,9 @@ class PageReader(HTMLParser):
         self.open.append(len(self.rows))
         self.rows.append([tag, kept, len(self.pieces), 0, 0, -1])
         self.kids.append(0)
-        if tag in SILENT_TAGS:
-            self.silent += 1
+        self.open_by_tag[tag] += 1
+        self.silent += tag in SILENT_TAGS
+        self.verbatim += tag in VERBATIM_TAGS
         if tag in VOID_TAGS:
             self._close_down_to(len(self.open) - 1)
 
@@ -83,6 +99,8 @@ class PageReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
+        if not self.open_by_tag[tag]:
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             if self.rows[self.open[depth]][0] == tag:
                 self._close_down_to(depth)
@@ -98,8 +116,17 @@ class PageReader(HTMLParser):
     handle_comment = handle_decl = handle_pi = unknown_decl = _other_node
 
 
+# pages read at a time, whatever the size of Spark's batches
+SLICE = 256
+
+
 def read_batch(html: pa.Array, attributes: frozenset[str] | None) -> pa.Array:
-    """One Arrow batch of pages to one Arrow batch of documents, column by column."""
+    """One Arrow batch of pages to one Arrow batch of documents."""
+    return pa.concat_arrays([read_slice(html.slice(i, SLICE), attributes) for i in range(0, max(len(html), 1), SLICE)])
+
+
+def read_slice(html: pa.Array, attributes: frozenset[str] | None) -> pa.Array:
+    """A slice of pages to documents, column by column."""
     pieces, piece_offsets, element_offsets, missing = [], [0], [0], []
     pos, tags, keys, values, attr_offsets = [], [], [], [], [0]
     numbers = ([], [], [], [])

@@ -32,7 +32,7 @@ from listwright.operators.document import (
     parse_html,
     text_of,
 )
-from listwright.plans.common import na, emit, lifted, page_columns, page_title, part, required, truthy
+from listwright.plans.common import at_most, na, emit, lifted, page_columns, page_title, part, required, truthy
 from listwright.settings import CLASSIFIEDS, Site
 
 # --- fixed values: patterns of this profile ----------------------------------
@@ -291,7 +291,7 @@ def criteria(pieces: Column, elements: Column) -> Column:
 
 
 def images(elements: Column, site: Site = CLASSIFIEDS) -> Column:
-    """Gallery pictures, else those of the content block, else all; first ten."""
+    """Gallery pictures, else those of the content block, else all."""
     gallery = find(elements, "div", "section", where=attr_matches("class", GALLERY_CLASS))
     content = find(elements, "main", "article", "div", where=attr_matches("class", CONTENT_CLASS))
     scope = let(
@@ -308,19 +308,20 @@ def images(elements: Column, site: Site = CLASSIFIEDS) -> Column:
         return source(img).isNotNull() & ~F.coalesce(small, F.lit(False))
 
     urls = F.transform(find_all(scope, "img", where=usable), lambda img: resolve_url(source(img), site.base_url))
-    return F.slice(F.array_distinct(urls), 1, rules.MAX_IMAGES)
+    return F.array_distinct(urls)
 
 
 # --- plan ------------------------------------------------------------------------
 
 
 def extract(
-    pages: DataFrame, site: Site = CLASSIFIEDS, validate: bool = True, strict: bool = False
+    pages: DataFrame, site: Site = CLASSIFIEDS, validate: bool = True, strict: bool = False, max_images: int | None = None
 ) -> DataFrame:
     """Pages to listing records.
 
     ``strict=True`` leaves out the class-attribute rules for price, place and
     text.  Records read from embedded JSON are not validated here.
+    ``max_images`` bounds the stored pictures; the count is that of all.
     """
     base = page_columns(pages)
     opened = base.select(
@@ -368,7 +369,7 @@ def extract(
         "neighborhood": F.when(ready.isNull(), F.col("place.neighborhood")),
         **{k: lifted(features, k) for k in ("surface", "rooms", "bedrooms", "bathrooms")},
         "criteria": features,
-        "image_urls": pictures,
+        "image_urls": at_most(pictures, max_images),
         "image_count": F.size(pictures),
         "date_posted": pick("date_posted"),
         "scraped_at": F.col("scraped_at"),

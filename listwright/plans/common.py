@@ -55,8 +55,13 @@ def truthy(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def at_most(urls: Column, n: int | None) -> Column:
+    """The first ``n`` of an array; all without a bound."""
+    return urls if n is None else F.slice(urls, 1, n)
+
+
 def images_with_alt(elements: Column, fits: object, site: Site) -> Column:
-    """Picture URLs of a page whose alt text passes ``fits``, first ten, distinct."""
+    """Picture URLs of a page whose alt text passes ``fits``, distinct."""
     def source(img: Column) -> Column:
         return F.coalesce(*(truthy(attr(img, a)) for a in ("data-src", "data-original", "data-lazy", "src")))
 
@@ -72,7 +77,7 @@ def images_with_alt(elements: Column, fits: object, site: Site) -> Column:
         )
 
     urls = F.transform(find_all(elements, "img", where=usable), lambda img: resolve_url(source(img), site.base_url))
-    return F.slice(F.array_distinct(urls), 1, rules.MAX_IMAGES)
+    return F.array_distinct(urls)
 
 
 def lifted(criteria: Column, key: str) -> Column:

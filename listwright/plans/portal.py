@@ -26,8 +26,8 @@ from listwright.functions.values import (
     number_dotted,
     number_spoken,
 )
-from listwright.operators.document import first_position, section, text_lines, with_document
-from listwright.plans.common import na, emit, images_with_alt, lifted, page_columns, page_title, part, required
+from listwright.operators.document import section, text_lines, up_to_label, with_document
+from listwright.plans.common import at_most, na, emit, images_with_alt, lifted, page_columns, page_title, part, required
 from listwright.settings import PORTAL, Site
 
 # --- fixed values: patterns of this profile (on folded, normalised text) -------
@@ -56,8 +56,8 @@ def listing_id(url: Column, site: Site = PORTAL) -> Column:
 
 
 def price(lines: Column, labels: Column) -> Column:
-    """Struct from the first leading line that is a price or 'price on request'."""
-    head = F.slice(F.arrays_zip(lines.alias("line"), labels.alias("label")), 1, rules.PORTAL_PRICE_LINES)
+    """Struct from the first line that is a price or 'price on request'."""
+    pairs = F.arrays_zip(lines.alias("line"), labels.alias("label"))
 
     def is_price(w: Column) -> Column:
         # only lines with a digit can match, so only these are folded
@@ -71,7 +71,7 @@ def price(lines: Column, labels: Column) -> Column:
             w["label"].contains(rules.PORTAL_NO_PRICE).alias("on_request"),
         )
 
-    first = F.get(F.filter(head, is_price), 0)
+    first = F.get(F.filter(pairs, is_price), 0)
 
     def read(w: Column) -> Column:
         priced = w["line"].isNotNull() & ~w["on_request"]
@@ -85,8 +85,11 @@ def price(lines: Column, labels: Column) -> Column:
     return let(let(first, opened), read)
 
 
-def place_line(lines: Column, labels: Column, title: Column) -> Column:
-    """Most likely location line: after the title, else among the leading lines."""
+def place_line(lines: Column, labels: Column, title: Column, max_chars: int | None = None) -> Column:
+    """Most likely location line: between the title and the first section, else on the whole page.
+
+    ``max_chars`` refuses longer lines.
+    """
     pairs = F.arrays_zip(lines.alias("line"), labels.alias("label"))
 
     def candidate(window: Column) -> Column:
@@ -96,7 +99,7 @@ def place_line(lines: Column, labels: Column, title: Column) -> Column:
                 w["label"].endswith(" a") & (following != ""), F.concat_ws(" ", w["line"], following)
             ).otherwise(w["line"])
             unfit = (
-                (F.length(w["line"]) > rules.PORTAL_PLACE_MAX_CHARS)
+                (F.lit(False) if max_chars is None else F.length(w["line"]) > max_chars)
                 | w["label"].rlike(METRIC_LINE)
                 | w["label"].contains(rules.PORTAL_NO_PRICE)
                 | w["label"].rlike(PRICE_LINE)
@@ -107,10 +110,8 @@ def place_line(lines: Column, labels: Column, title: Column) -> Column:
         return F.get(F.filter(F.transform(window, read), lambda c: c.isNotNull()), 0)
 
     title_at = F.greatest(F.array_position(lines, title).cast("int"), F.lit(1))
-    after_title = F.slice(pairs, title_at + 1, rules.PORTAL_PLACE_LINES_AFTER_TITLE)
-    return F.coalesce(
-        let(after_title, candidate), let(F.slice(pairs, 1, rules.PORTAL_PLACE_LINES), candidate), na()
-    )
+    after_title = up_to_label(F.slice(pairs, title_at + 1, F.size(lines)), rules.PORTAL_DESCRIPTION_STOP)
+    return F.coalesce(let(after_title, candidate), let(pairs, candidate), na())
 
 
 def split_place(raw: Column) -> Column:
@@ -130,34 +131,29 @@ def split_place(raw: Column) -> Column:
     return let(F.filter(F.transform(F.split(raw, ","), strip), lambda p: p != ""), fields)
 
 
-def description(lines: Column, labels: Column, title: Column) -> Column:
-    """Long lines after the title up to the first stop label."""
+def description(lines: Column, labels: Column, title: Column, min_chars: int = 0) -> Column:
+    """Lines after the title up to the first stop label; ``min_chars`` drops shorter ones."""
     pairs = F.arrays_zip(lines.alias("line"), labels.alias("label"))
-    window = F.slice(pairs, F.array_position(lines, title).cast("int") + 1, rules.PORTAL_DESCRIPTION_LINES)
-
-    def body(ws: Column) -> Column:
-        stop = first_position(F.transform(ws, lambda w: w["label"]), rules.PORTAL_DESCRIPTION_STOP)
-        before = F.when(stop > 0, F.slice(ws, F.lit(1), stop - 1)).otherwise(ws)
-        kept = F.filter(
-            before,
-            lambda w: ~w["label"].rlike(SKIPPED_LINE)
-            & ~w["label"].isin(*rules.PORTAL_OPTIONS.values())
-            & (F.length(w["line"]) >= rules.PORTAL_DESCRIPTION_MIN_CHARS),
-        )
-        return F.array_join(F.transform(kept, lambda w: w["line"]), "\n")
-
-    return F.coalesce(F.nullif(strip(let(window, body)), F.lit("")), na())
+    after_title = F.slice(pairs, F.array_position(lines, title).cast("int") + 1, F.size(lines))
+    kept = F.filter(
+        up_to_label(after_title, rules.PORTAL_DESCRIPTION_STOP),
+        lambda w: ~w["label"].rlike(SKIPPED_LINE)
+        & ~w["label"].isin(*rules.PORTAL_OPTIONS.values())
+        & (F.length(w["line"]) >= min_chars),
+    )
+    body = F.array_join(F.transform(kept, lambda w: w["line"]), "\n")
+    return F.coalesce(F.nullif(strip(body), F.lit("")), na())
 
 
-def _head_text(labels: Column, n: int) -> Column:
-    """Normalised text of the first n lines."""
-    return F.array_join(F.filter(F.slice(labels, 1, n), lambda t: t != ""), " ")
+def _label_text(labels: Column) -> Column:
+    """Normalised text of all lines."""
+    return F.array_join(F.filter(labels, lambda t: t != ""), " ")
 
 
 def criteria(lines: Column, labels: Column) -> Column:
-    """Numbers in the leading text, label/value lines and option flags."""
+    """Numbers in the text, label/value lines and option flags."""
     numbers = let(
-        _head_text(labels, rules.PORTAL_CRITERIA_LINES),
+        _label_text(labels),
         lambda t: F.array(*(entry(k, number_dotted(F.regexp_extract(t, p, 1))) for k, p in CRITERIA_PATTERNS.items())),
     )
     pairs = section(
@@ -171,7 +167,7 @@ def criteria(lines: Column, labels: Column) -> Column:
         ),
     )
     flags = let(
-        F.slice(labels, 1, rules.PORTAL_OPTION_LINES),
+        labels,
         lambda ls: F.array(*(entry(k, F.array_contains(ls, word)) for k, word in rules.PORTAL_OPTIONS.items())),
     )
     entries = F.concat(numbers, details, flags)
@@ -185,7 +181,7 @@ def date_posted(labels: Column, as_of: Column) -> Column:
             text.rlike(POSTED_PATTERN), parse_french(F.regexp_extract(text, POSTED_PATTERN, 1))
         ).otherwise(parse_relative_french(text, as_of))
 
-    return iso_text(let(_head_text(labels, rules.PORTAL_DATE_LINES), read))
+    return iso_text(let(_label_text(labels), read))
 
 
 def images(elements: Column, title: Column, site: Site = PORTAL) -> Column:
@@ -202,13 +198,17 @@ def extract(
     validate: bool = True,
     category: str | None = "apartment",
     transaction: str | None = "sale",
+    max_images: int | None = None,
+    place_max_chars: int | None = None,
+    text_min_chars: int = 0,
     **_,
 ) -> DataFrame:
     """Pages to listing records.
 
     Category and transaction are those of the search: page columns
     ``category`` / ``transaction_type`` when the pages were joined to their
-    search, else the arguments.
+    search, else the arguments.  ``max_images`` bounds the stored pictures, not
+    their count; see :func:`place_line` and :func:`description` for the others.
     """
     p, e, url, title = F.col("pieces"), F.col("elements"), F.col("url"), F.col("title")
     lines, labels = F.col("lines"), F.col("labels")
@@ -224,8 +224,8 @@ def extract(
     ruled = read.select(
         "seq", "url", "scraped_at", "title", "category", "transaction_type",
         price(lines, labels).alias("price"),
-        place_line(lines, labels, title).alias("location_raw"),
-        description(lines, labels, title).alias("description"),
+        place_line(lines, labels, title, place_max_chars).alias("location_raw"),
+        description(lines, labels, title, text_min_chars).alias("description"),
         date_posted(labels, F.to_date("scraped_at")).alias("date_posted"),
         criteria(lines, labels).alias("criteria"),
         images(e, title, site).alias("image_urls"),
@@ -251,7 +251,7 @@ def extract(
         **{k: lifted(features, k) for k in ("surface", "rooms", "bedrooms", "bathrooms", "floor")},
         "furnished": F.try_element_at(features, F.lit("furnished")).try_cast("boolean"),
         "criteria": features,
-        "image_urls": F.col("image_urls"),
+        "image_urls": at_most(F.col("image_urls"), max_images),
         "image_count": F.size("image_urls"),
         "date_posted": F.col("date_posted"),
         "scraped_at": F.col("scraped_at"),

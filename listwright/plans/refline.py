@@ -29,8 +29,8 @@ from listwright.functions.values import (
     looks_like_amount,
     number_dotted,
 )
-from listwright.operators.document import find_all, joined_text, section, text_lines, text_of, with_document
-from listwright.plans.common import na, emit, images_with_alt, lifted, page_columns, page_title, part, required
+from listwright.operators.document import find_all, joined_text, section, text_lines, text_of, up_to_label, with_document
+from listwright.plans.common import at_most, na, emit, images_with_alt, lifted, page_columns, page_title, part, required
 from listwright.settings import REFLINE, Site
 
 _S = f"[{SPACE_CLASS}]"
@@ -53,6 +53,10 @@ RENT_WORDS = rf"{_EDGE_BEFORE}(louer|location){_EDGE_AFTER}"
 SALE_WORDS = rf"{_EDGE_BEFORE}(vendre|vente|acheter){_EDGE_AFTER}"
 # -----------------------------------------------------------------------------
 
+SECTION_LABELS = tuple(dict.fromkeys(
+    rules.REFLINE_DESCRIPTION_START + rules.REFLINE_DESCRIPTION_END + rules.REFLINE_OPTIONS_START + rules.REFLINE_OPTIONS_END
+))
+
 
 def listing_id(url: Column, page_text: Column, site: Site = REFLINE) -> Column:
     """Trailing number of the URL, the reference on the page, or generated."""
@@ -87,20 +91,18 @@ def category(pieces: Column, elements: Column, url: Column, title: Column) -> Co
 
 
 def transaction(url: Column, title: Column, page_text: Column) -> Column:
-    """Rent words before sale words in URL, title and the head of the page."""
-    head = F.substring(page_text, 1, rules.REFLINE_TRANSACTION_CHARS)
+    """Rent words before sale words in URL, title and the page."""
     return let(
-        F.lower(F.concat_ws(" ", url, title, head)),
+        F.lower(F.concat_ws(" ", url, title, page_text)),
         lambda t: F.when(t.rlike(RENT_WORDS), F.lit("rent")).when(t.rlike(SALE_WORDS), F.lit("sale")),
     )
 
 
 def location(lines: Column, labels: Column, title: Column) -> Column:
-    """Struct from the first line with a comma among those after the title."""
+    """Struct from the first line with a comma between the title and the first section."""
     title_at = F.greatest(F.array_position(lines, title).cast("int"), F.lit(1))
-    window = F.slice(
-        F.arrays_zip(lines.alias("line"), labels.alias("label")),
-        title_at + 1, rules.REFLINE_PLACE_LINES_AFTER_TITLE,
+    window = up_to_label(
+        F.slice(F.arrays_zip(lines.alias("line"), labels.alias("label")), title_at + 1, F.size(lines)), SECTION_LABELS
     )
     hit = F.get(
         F.filter(
@@ -179,8 +181,8 @@ def images(elements: Column, title: Column, site: Site = REFLINE) -> Column:
     return let(refline_label(title), with_title)
 
 
-def extract(pages: DataFrame, site: Site = REFLINE, validate: bool = True, **_) -> DataFrame:
-    """Pages to listing records."""
+def extract(pages: DataFrame, site: Site = REFLINE, validate: bool = True, max_images: int | None = None, **_) -> DataFrame:
+    """Pages to listing records; ``max_images`` bounds the stored pictures, not their count."""
     p, e, url, title = F.col("pieces"), F.col("elements"), F.col("url"), F.col("title")
     lines, labels, text = F.col("lines"), F.col("labels"), F.col("page_text")
     parsed = with_document(page_columns(pages).select("seq", "url", "scraped_at", "html"))
@@ -224,7 +226,7 @@ def extract(pages: DataFrame, site: Site = REFLINE, validate: bool = True, **_)
         **{k: lifted(features, k) for k in ("surface", "rooms", "bedrooms", "bathrooms", "floor")},
         "furnished": F.try_element_at(features, F.lit("furnished")).try_cast("boolean"),
         "criteria": features,
-        "image_urls": F.col("image_urls"),
+        "image_urls": at_most(F.col("image_urls"), max_images),
         "image_count": F.size("image_urls"),
         "date_posted": F.col("date_posted"),
         "scraped_at": F.col("scraped_at"),

@@ -38,7 +38,6 @@ CATEGORIES = {
 
 REQUIRED_FIELDS = ("title", "listing_url", "price")
 
-MAX_IMAGES = 10
 MIN_IMAGE_WIDTH = 100
 
 # --- fixed values: quality and reporting -----------------------------------
@@ -208,19 +207,6 @@ PORTAL_NOT_A_PLACE = (
 PORTAL_NO_PRICE = "prix a consulter"
 PORTAL_NO_PRICE_RAW = "Prix a consulter"
 
-# how many leading lines each portal rule looks at
-PORTAL_PRICE_LINES = 80
-PORTAL_PLACE_LINES = 80
-PORTAL_PLACE_LINES_AFTER_TITLE = 19
-PORTAL_DESCRIPTION_LINES = 120
-PORTAL_DESCRIPTION_MIN_CHARS = 40
-PORTAL_PLACE_MAX_CHARS = 80
-PORTAL_CRITERIA_LINES = 180
-PORTAL_DATE_LINES = 200
-PORTAL_OPTION_LINES = 380
-REFLINE_PLACE_LINES_AFTER_TITLE = 9
-REFLINE_TRANSACTION_CHARS = 500
-
 # --- fixed values: HTML ------------------------------------------------------
 
 VOID_TAGS = frozenset(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from workload.base import FACTS_SQL, on_duckdb
-from workload.pages import SITE_1, SITE_2, SITE_3, URL_1, URL_2, URL_3
+from workload.pages import LONG, SITE_1, SITE_2, SITE_3, URL_1, URL_2, URL_3
 
 FACTS = on_duckdb(FACTS_SQL).replace("STRING", "VARCHAR")
 
@@ -18,7 +18,12 @@ _URL1, _URL2, _URL3 = (f"({_sql(u)})" for u in (URL_1, URL_2, URL_3))
 
 
 def _hash(prefix: str, url: str) -> str:
-    return f"concat('{prefix}', substr(md5({url}), 1, 12))"
+    return f"concat('{prefix}', md5({url}))"
+
+
+def _many(site: str, path: str) -> str:
+    """The further pictures of a long page, as the end of a list."""
+    return f"CASE WHEN {LONG} THEN array_to_string(list_transform(range(1, 15), lambda i: concat('|{site}/{path}/', k, '/g', i, '.jpg')), '') ELSE '' END"
 
 
 def _pairs(*options: str) -> str:
@@ -66,8 +71,8 @@ CLASSIFIEDS = {
     "image_urls": f"""CASE WHEN {_E} THEN concat('{SITE_1}/e/', k, '.jpg|https://cdn.example/e', k, '.jpg')
         WHEN x7 = 6 THEN concat('{SITE_1}/logo.png|{SITE_1}/i/', k, '/solo.jpg')
         WHEN x7 = 0 AND x3 = 2 THEN concat('{SITE_1}/i/', k, '/in.jpg')
-        ELSE concat('{SITE_1}/i/', k, '/1.jpg|https://cdn.example/', k, '.jpg|{SITE_1}/i/3.jpg') END""",
-    "image_count": f"CAST(CASE WHEN {_E} OR x7 = 6 THEN 2 WHEN x7 = 0 AND x3 = 2 THEN 1 ELSE 3 END AS INTEGER)",
+        ELSE concat('{SITE_1}/i/', k, '/1.jpg|https://cdn.example/', k, '.jpg|{SITE_1}/i/3.jpg', {_many(SITE_1, 'i')}) END""",
+    "image_count": f"CAST(CASE WHEN {_E} OR x7 = 6 THEN 2 WHEN x7 = 0 AND x3 = 2 THEN 1 WHEN {LONG} THEN 17 ELSE 3 END AS INTEGER)",
     "date_posted": f"CASE WHEN {_E} THEN concat(d, 'T00:00:00Z') WHEN x4 = 3 THEN NULL ELSE d END",
 }
 CLASSIFIEDS_VALID = f"({_E} OR x49 <> 2)"
@@ -107,15 +112,12 @@ REFLINE = {
         """CASE x3 WHEN 0 THEN 'options=["Piscine","Meuble","Garage"]' WHEN 1 THEN 'options=["Vue dégagée"]' END""",
         *(f"CASE WHEN x3 <> 2 THEN '{f}=' || {'(x3 = 0)' if f in ('garage', 'pool', 'furnished') else 'false'} END" for f in _FLAGS2),
     ),
-    "image_urls": f"concat('{SITE_2}/p/', k, '.jpg|https://cdn.example/', k, '.jpg')",
-    "image_count": "CAST(2 AS INTEGER)",
+    "image_urls": f"concat('{SITE_2}/p/', k, '.jpg|https://cdn.example/', k, '.jpg', {_many(SITE_2, 'q')})",
+    "image_count": f"CAST(CASE WHEN {LONG} THEN 16 ELSE 2 END AS INTEGER)",
     "date_posted": "d",
 }
 REFLINE_VALID = "x7 <> 2"
 
-_AGO = """CASE x5 WHEN 1 THEN concat('Il y a ', k % 20 + 1, ' jours') WHEN 2 THEN 'Il y a 2 semaines'
-    WHEN 4 THEN 'Il y a 5 heures' END"""
-_AGO_TAIL = "CASE x5 WHEN 1 THEN concat(k % 20 + 1, ' jours') WHEN 2 THEN '2 semaines' WHEN 4 THEN '5 heures' END"
 _FLAGS3 = {
     "garage": "(x3 = 0)", "garden": "false", "terrace": "false", "elevator": "false", "pool": "false",
     "furnished": "(x3 = 1)", "concierge": "false", "air_conditioning": "false", "central_heating": "false",
@@ -129,7 +131,11 @@ PORTAL = {
     "listing_url": _URL3,
     "listing_id": f"CASE WHEN x7 = 1 THEN {_hash('portal_hash_', _URL3)} ELSE CAST(k AS VARCHAR) END",
     "title": "t",
-    "description": f"CASE WHEN x7 = 3 THEN concat(t, ' | Portal') ELSE {_TEXT3} END",
+    # all lines from the title to the first section but prices, sizes and counts
+    "description": f"""CASE WHEN x7 = 3 THEN concat(t, ' | Portal') ELSE concat(CASE WHEN {LONG} THEN repeat('Annonce du jour' || chr(10), 600) ELSE '' END,
+        CASE x4 WHEN 0 THEN concat('Quartier Nord à ', n, chr(10)) WHEN 1 THEN concat('Cité Sud à', chr(10), n, chr(10))
+         WHEN 2 THEN concat('Cité Est, ', n, chr(10)) ELSE '' END,
+        CASE WHEN x7 <> 2 AND x3 = 0 THEN concat('A partir de ', spaced, ' TND', chr(10)) ELSE '' END, {_TEXT3}, chr(10), 'Texte court') END""",
     "category": "'apartment'",
     "transaction_type": "'sale'",
     "price_raw": """CASE WHEN x7 = 2 THEN 'Prix a consulter' WHEN x3 = 0 THEN concat('A partir de ', spaced, ' TND')
@@ -137,11 +143,12 @@ PORTAL = {
     "price_numeric": "CAST(CASE WHEN x7 <> 2 THEN amount END AS DOUBLE)",
     "currency": "CASE WHEN x7 <> 2 AND x3 = 2 THEN 'EUR' ELSE 'TND' END",
     "location_raw": f"""CASE x4 WHEN 0 THEN concat('Quartier Nord à ', n) WHEN 1 THEN concat('Cité Sud à ', n)
-        WHEN 2 THEN concat('Cité Est, ', n) ELSE coalesce({_AGO}, 'N/A') END""",
-    "city": f"CASE WHEN x4 <> 3 THEN n ELSE {_AGO_TAIL} END",
-    "governorate": f"CASE WHEN x4 <> 3 THEN n ELSE {_AGO_TAIL} END",
+        WHEN 2 THEN concat('Cité Est, ', n) ELSE {_TEXT3} END""",
+    # without a place line the first line with a comma is taken, here the text
+    "city": "CASE WHEN x4 <> 3 THEN n ELSE concat('proche des commerces et des écoles du quartier ', k) END",
+    "governorate": "CASE WHEN x4 <> 3 THEN n ELSE concat('proche des commerces et des écoles du quartier ', k) END",
     "neighborhood": """CASE x4 WHEN 0 THEN 'Quartier Nord' WHEN 1 THEN 'Cité Sud' WHEN 2 THEN 'Cité Est'
-        ELSE CASE WHEN x5 IN (1, 2, 4) THEN 'Il y' END END""",
+        ELSE 'Bel appartement lumineux avec une vue dégagée' END""",
     "surface": "CAST(m2 AS DOUBLE)",
     "rooms": "CAST(rooms_n AS DOUBLE)",
     "bedrooms": "CAST(beds_n AS DOUBLE)",
@@ -153,8 +160,8 @@ PORTAL = {
         "'bathrooms=2.0'", "'property_type=Appartement'", "'condition=Ancien'", "concat('floor=', k % 12)",
         *(f"'{f}=' || {v}" for f, v in _FLAGS3.items()),
     ),
-    "image_urls": f"concat('{SITE_3}/p/', k, '.jpg')",
-    "image_count": "CAST(1 AS INTEGER)",
+    "image_urls": f"concat('{SITE_3}/p/', k, '.jpg', {_many(SITE_3, 'p')})",
+    "image_count": f"CAST(CASE WHEN {LONG} THEN 15 ELSE 1 END AS INTEGER)",
     "date_posted": """CAST(CASE x5 WHEN 1 THEN CAST(d AS DATE) - CAST(k % 20 + 1 AS INTEGER) WHEN 2 THEN CAST(d AS DATE) - 14
         WHEN 3 THEN CAST(d AS DATE) - 30 ELSE CAST(d AS DATE) END AS VARCHAR)""",
 }

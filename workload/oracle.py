@@ -230,8 +230,8 @@ ORACLE["nodes_rows"] = f"""SELECT page_id, 'h1' AS tag, {_H1} AS text FROM pages
 ORACLE["resolve_url"] = f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS link_no, concat('{SITE_1}', hrefs[i]) AS url FROM (
  SELECT page_id, hrefs, unnest(range(1, len(hrefs) + 1)) AS i FROM (
  SELECT page_id, regexp_extract_all(html, '(?i)<a\\s[^>]*href="([^"]*)"', 1) AS hrefs FROM pages))"""
-ORACLE["listing_id"] = """SELECT page_id, concat('hash_', substr(md5(url), 1, 12)) AS classifieds_id,
- concat('refline_hash_', substr(md5(url), 1, 12)) AS refline_id, concat('portal_hash_', substr(md5(url), 1, 12)) AS portal_id FROM pages"""
+ORACLE["listing_id"] = """SELECT page_id, concat('hash_', md5(url)) AS classifieds_id,
+ concat('refline_hash_', md5(url)) AS refline_id, concat('portal_hash_', md5(url)) AS portal_id FROM pages"""
 ORACLE["site_lookup"] = """SELECT 'classifieds.example' AS source, count(*) AS pages FROM orders UNION ALL
  SELECT 'portal.example', count(*) FROM orders UNION ALL SELECT NULL, count(*) FROM pages"""
 
@@ -329,5 +329,5 @@ ORACLE["page_urls"] = f"""WITH s AS (SELECT search_id, {_START} AS start_url, un
 ORACLE["csv_roundtrip"] = f"""SELECT listing_id, title, price_numeric, city, governorate, description, date_posted, seq AS n,
  {_FLAT_EXTRA.replace('to_json([listing_url])', 'CAST(to_json([listing_url]) AS VARCHAR)')}, CAST(surface AS VARCHAR) AS criteria_surface FROM ({L})"""
 ORACLE["json_roundtrip"] = f"""SELECT listing_id, title, price_numeric, city, governorate, image_count, listing_id AS image_urls FROM ({L})"""
-ORACLE["stream_extract"] = f"""SELECT page_id AS seq, url AS listing_url, concat('hash_', substr(md5(url), 1, 12)) AS listing_id, {_H1} AS title FROM pages"""
+ORACLE["stream_extract"] = f"""SELECT page_id AS seq, url AS listing_url, concat('hash_', md5(url)) AS listing_id, {_H1} AS title FROM pages"""
 ORACLE["stream_dedupe"] = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS listing_id FROM events"

@@ -38,6 +38,16 @@ EMBEDDED_JSON = """concat('{"props":{"pageProps":{"adDetails":{"id":"E', k, '","
  '"},"adParams":[{"label":"Superficie","value":', CASE WHEN x35 = 5 THEN CAST(m2 AS STRING) ELSE concat('"', m2, ' m2"') END,
  '},{"label":"Chambres","value":"', beds_n, '"},{"label":"Vue","value":"mer"}]}}}}')"""
 
+# on every 64th page 600 lines stand before what a rule looks for, and pictures are many
+LONG = "k % 64 = 7"
+FILLER = f"CASE WHEN {LONG} THEN repeat('<p>Annonce du jour</p>', 600) ELSE '' END"
+
+
+def _many(path: str, rest: str = "") -> str:
+    """Fourteen more pictures of a long page."""
+    return f"""CASE WHEN {LONG} THEN array_join(transform(sequence(1, 14), i -> concat('<img src="/{path}/', k, '/g', i, '.jpg"{rest}>')), '') ELSE '' END"""
+
+
 PAGE_1 = f"""concat('<!DOCTYPE html><html><head><meta charset="utf-8">',
  CASE WHEN x7 = 1 AND x21 <> 8 THEN concat('<meta property="og:title" content=" ', th, ' ">') ELSE '' END,
  CASE WHEN x7 = 4 THEN concat('<meta property="og:description" content="Courte ', k, '">') ELSE '' END,
@@ -75,15 +85,15 @@ PAGE_1 = f"""concat('<!DOCTYPE html><html><head><meta charset="utf-8">',
  CASE WHEN x7 = 6 THEN concat('<p><img src="/i/', k, '/solo.jpg">') WHEN x7 = 0 AND x3 = 2 THEN ''
    ELSE concat('<div class="photo-gallery"><img data-src="/i/', k, '/1.jpg" src="/s.gif"><img src="/i/', k,
      '/2.jpg" width="50"><img src="https://cdn.example/', k, '.jpg" width="640"><img src="/i/', k,
-     '/1.jpg"><img width="auto" src="i/3.jpg"></div>') END,
+     '/1.jpg"><img width="auto" src="i/3.jpg">', {_many('i')}, '</div>') END,
  '</body></html>')"""
 
-PAGE_2 = """concat('<!DOCTYPE html><html><head><title>', th, CASE WHEN x7 = 3 THEN '' ELSE ' - Refline' END,
+PAGE_2 = f"""concat('<!DOCTYPE html><html><head><title>', th, CASE WHEN x7 = 3 THEN '' ELSE ' - Refline' END,
  '</title><script>var t="</p> 9 DT";</script></head><body><ul><li><a href="/">Accueil</a></li>',
  CASE x5 WHEN 0 THEN '<li><a href="/c">Appartement</a></li>' WHEN 1 THEN '<li><a href="/c">Villa</a></li><li><a href="/l"> Location </a></li>'
    WHEN 4 THEN '<li><a href="/c">bureau</a></li>' ELSE '' END,
- CASE x3 WHEN 0 THEN '<li>A louer</li>' WHEN 1 THEN '<li>Vente</li>' ELSE '<li>Divers</li>' END,
- '</ul><img src="/img/logo.png"><h1>', th, '</h1><p>Premium, annonce 500 EUR</p>',
+ {FILLER}, CASE x3 WHEN 0 THEN '<li>A louer</li>' WHEN 1 THEN '<li>Vente</li>' ELSE '<li>Divers</li>' END,
+ '</ul><img src="/img/logo.png"><h1>', th, '</h1><p>Premium, annonce 500 EUR</p>', {FILLER},
  CASE x4 WHEN 0 THEN concat('<p>Quartier ', k, ', ', n, ', ', r, '</p>') WHEN 1 THEN concat('<p>', n, ', ', r, '</p>')
    WHEN 2 THEN concat('<p>Ville ', n, ' centre,</p>') ELSE '' END,
  CASE WHEN x7 = 2 THEN '<div>Prix sur demande</div>' WHEN x2 = 0 THEN concat('<div>', spaced, ' DT / Mois</div>')
@@ -97,12 +107,12 @@ PAGE_2 = """concat('<!DOCTYPE html><html><head><title>', th, CASE WHEN x7 = 3 TH
  'D&eacute;pos&eacute;e le : ', substring(d,9,2), '/', substring(d,6,2), '/',
  CASE WHEN x2 = 0 THEN substring(d,3,2) ELSE substring(d,1,4) END, '</footer>',
  '<img data-original="/p/', k, '.jpg" src="/blank.gif" alt="', th, ' photo 1"><img src="/other.jpg" alt="Autre bien">',
- '<img src="/q/', k, '.jpg" width="90"><img src="//cdn.example/', k, '.jpg" width="90%"></body></html>')"""
+ '<img src="/q/', k, '.jpg" width="90"><img src="//cdn.example/', k, '.jpg" width="90%">', {_many('q')}, '</body></html>')"""
 
-PAGE_3 = """concat('<!DOCTYPE html><html><head>',
+PAGE_3 = f"""concat('<!DOCTYPE html><html><head>',
  CASE WHEN x7 = 3 THEN concat('<meta property="og:title" content="', th, '">') ELSE '' END,
- '<title>', th, ' | Portal</title></head><body><div>Favori</div><div>Partager</div>',
- CASE WHEN x7 = 3 THEN '<h1> </h1>' ELSE concat('<h1>', th, '</h1>') END,
+ '<title>', th, ' | Portal</title></head><body><div>Favori</div><div>Partager</div>', {FILLER},
+ CASE WHEN x7 = 3 THEN '<h1> </h1>' ELSE concat('<h1>', th, '</h1>') END, {FILLER},
  CASE x4 WHEN 0 THEN concat('<h3>Quartier Nord &agrave; ', n, '</h3>') WHEN 1 THEN concat('<h3>Cité Sud &agrave;</h3><h3>', n, '</h3>')
    WHEN 2 THEN concat('<h3>Cité Est, ', n, '</h3>') ELSE '' END,
  CASE WHEN x7 = 2 THEN '<p>Prix &agrave; consulter</p>' WHEN x3 = 0 THEN concat('<p>A partir de ', spaced, ' TND</p>')
@@ -111,12 +121,12 @@ PAGE_3 = """concat('<!DOCTYPE html><html><head>',
  '<p>Bel appartement lumineux avec une vue d&eacute;gag&eacute;e, proche des commerces et des &eacute;coles du quartier ', k, '</p>',
  '<p>Texte court</p><div>Caract&eacute;ristiques g&eacute;n&eacute;rales</div>',
  '<p>Type de bien</p><p>Appartement</p><p>&Eacute;tat</p><p>Neuf</p><p>&Eacute;tage du bien</p><p>', k % 12, '</p><p>&Eacute;tat</p><p>Ancien</p>',
- '<div>Voir la carte</div>',
+ '<div>Voir la carte</div>', {FILLER},
  CASE x3 WHEN 0 THEN '<span>Garage</span><span>Vue sur mer</span>' WHEN 1 THEN '<span>Meubl&eacute;</span>' ELSE '' END,
  '<p>', CASE x5 WHEN 0 THEN concat('Publi&eacute;e le ', substring(d,9,2), '/', substring(d,6,2), '/', substring(d,3,2))
    WHEN 1 THEN concat('Il y a ', k % 20 + 1, ' jours') WHEN 2 THEN 'Il y a 2 semaines' WHEN 3 THEN 'Il y a 1 mois'
    ELSE 'Il y a 5 heures' END, '</p>',
- '<img data-lazy="/p/', k, '.jpg" alt="', th, '"><img src="/z.jpg" alt="Autre"><img src="/sprite/a.png"></body></html>')"""
+ '<img data-lazy="/p/', k, '.jpg" alt="', th, '"><img src="/z.jpg" alt="Autre"><img src="/sprite/a.png">', {_many('p')}, '</body></html>')"""
 
 _PAGES = {"classifieds": (URL_1, PAGE_1), "refline": (URL_2, PAGE_2), "portal": (URL_3, PAGE_3)}
 
