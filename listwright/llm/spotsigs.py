@@ -217,7 +217,7 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", ch
 
     kind = docs.select(F.col(key).alias("key")).schema["key"].dataType.simpleString()
     source = docs.select(order.alias("ord"), F.col(key).alias("key"), F.col(text).alias("text"))
-    dealt = source.mapInArrow(deal, f"part int, extra boolean, ord long, tie long, key {kind}, packed binary").repartition(n_ranges, "part")
+    dealt = source.mapInArrow(deal, f"part int, extra boolean, ord long, tie long, key {kind}, packed binary").repartitionById(n_ranges, F.col("part"))
     ready = dealt.sortWithinPartitions("part", "extra", F.desc("ord"), "tie").select("extra", "key", "packed")
     return ready.mapInArrow(describe, f"`{key}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
