@@ -60,15 +60,22 @@ def _ranges(kind: str) -> str:
 
 
 class _Pieces(dict):
-    """Pre-token -> packed ids; misses are encoded and kept while there is room."""
+    """Pre-token -> packed ids, in two generations of bounded size.
+
+    When the young one is full it becomes the old one; what is met again comes
+    back from there, so frequent pre-tokens are never encoded twice.
+    """
 
     def __init__(self, bpe: ByteBpe, limit: int) -> None:
-        self.bpe, self.limit = bpe, limit
+        self.bpe, self.limit, self.old = bpe, limit, {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = self.bpe.encode_piece(piece)
+        packed = self.old.get(piece)
+        if packed is None:
+            packed = self.bpe.encode_piece(piece)
         if len(piece) <= 64:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
@@ -77,7 +84,7 @@ class _Pieces(dict):
 class ByteBpe:
     """A byte-level BPE of a tokenizers JSON file."""
 
-    def __init__(self, path: str, cache: int = 1_000_000) -> None:
+    def __init__(self, path: str, cache: int = 200_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -150,7 +157,7 @@ class ByteBpe:
         table, pair = self.compatible, left << 32 | right
         known = table.get(pair)
         if known is None:
-            if len(table) >= 1_000_000:
+            if len(table) >= 400_000:
                 table.clear()
             known = table[pair] = self._check(left, right)
         return known

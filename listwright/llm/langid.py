@@ -168,10 +168,10 @@ def identify(
     table = priors(docs, model, host, domain, text, strength, temper)
     base = table.where("host IS NULL").first()["prior"]
     rows = docs.select(
-        F.struct(*worker.columns(names)).alias("row"), F.col(text).alias("t"), host.cast("string").alias("own_host"),
+        F.struct(*worker.columns(names)).alias("row"), host.cast("string").alias("own_host"),
         (null if declared is None else F.lower(declared)).alias("declared"), (null if suffix is None else F.lower(suffix)).alias("suffix"))
-    joined = rows.join(table.where("host IS NOT NULL"), F.col("own_host") == F.col("host"), "left").select("row", "t", "declared", "suffix", "prior")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    joined = rows.join(table.where("host IS NOT NULL"), F.col("own_host") == F.col("host"), "left").select("row", "declared", "suffix", "prior")
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), names.index(text)
 
     def run(batches):
         m = shared.value
@@ -187,7 +187,7 @@ def identify(
         for batch in batches:
             found, sure = [], []
             extra = (batch.column(c).to_pylist() for c in ("declared", "suffix", "prior"))
-            for t, d, s, p in zip(worker.texts(batch.column("t")), *extra):
+            for t, d, s, p in zip(worker.texts(batch.column("row").field(at)), *extra):
                 odds = _text_log_odds(m, t, temper)
                 if odds is None:
                     found.append(NONE)
@@ -200,7 +200,7 @@ def identify(
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.string()), pa.array(sure, pa.float64())], names=["row", "found", "sure"])
 
     fields = T.StructType([rows.schema["row"], T.StructField("found", T.StringType()), T.StructField("sure", T.DoubleType())])
-    done = joined.select("row", "t", "declared", "suffix", "prior").mapInArrow(run, fields)
+    done = joined.mapInArrow(run, fields)
     return done.select(*[F.col("row")[c].alias(c) for c in names], F.col("found").alias(language), F.col("sure").alias(confidence))
 
 

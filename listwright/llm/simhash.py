@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listwright.llm import worker
 from listwright.llm.components import components
@@ -224,8 +225,15 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     rows, ids = _classes(docs, key, text, words, max_distance, seed)
     first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "fp")).alias("first")
     kept = rows.join(ids, F.col("fp") == F.col("class_fp")).groupBy("component").agg(first).select(F.col("first.key").alias("kept_key"), F.col("first.fp").alias("kept_fp"))
-    whole = docs.select(F.struct(*worker.columns(docs.columns)).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
-    tagged = fingerprints(whole, words=words, seed=seed)
+    whole = docs.select(F.struct(*worker.columns(docs.columns)).alias("row"), F.col(key).alias("key"))
+    at = docs.columns.index(text)
+
+    def tag(batches):
+        for batch in batches:
+            bits = np.array([fingerprint(t, words, seed) for t in worker.texts(batch.column("row").field(at))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits.view(np.int64))], names=["row", "key", "fp"])
+
+    tagged = whole.mapInArrow(tag, T.StructType([*whole.schema.fields, T.StructField("fp", T.LongType())]))
     matched = tagged.join(kept, F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("fp") == F.col("kept_fp")))
     rank = F.row_number().over(Window.partitionBy("key", "fp").orderBy(F.xxhash64(F.col("row")[text])))
     return matched.withColumn("rank", rank).where("rank = 1").select("row.*")

@@ -35,7 +35,7 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text", min_share:
 class _Lengths(dict):
     """The second tier: lengths of pre-tokens met by this worker."""
 
-    def __init__(self, bpe, limit: int = 1_000_000) -> None:
+    def __init__(self, bpe, limit: int = 400_000) -> None:
         self.bpe, self.limit = bpe, limit
 
     def __missing__(self, piece: str) -> int:
