@@ -84,7 +84,7 @@ class _Pieces(dict):
 class ByteBpe:
     """A byte-level BPE of a tokenizers JSON file."""
 
-    def __init__(self, path: str, cache: int = 200_000) -> None:
+    def __init__(self, path: str, cache: int = 300_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -170,32 +170,30 @@ class ByteBpe:
             size -= 1
         return token
 
-    def _backtrack(self, text: str, greedy: list[int]) -> list[int]:
-        """The encoding; `greedy` are the longest tokens one behind the other."""
+    def _backtrack(self, text: str, out: list[int], token: int) -> list[int]:
+        """The encoding; `out` are the longest tokens up to `token`, the first that doesn't fit."""
         end, size, shorter, known = len(text), self.size, self.shorter, self.compatible.get
         dead = bytearray(end + 1)
-        out, pos, token = [], 0, greedy[0]
+        pos = sum([size[t] for t in out])
         while True:
-            to = pos + size[token]
-            if not dead[to]:
-                fits = True
-                if out:
-                    fits = known(out[-1] << 32 | token)
-                    if fits is None:
-                        fits = self.fits(out[-1], token)
-                if fits:
-                    out.append(token)
-                    if to == end:
-                        return out
-                    pos = to
-                    token = self._longest_at(text, pos)
-                    continue
             token = shorter[token]
             while token < 0:  # nothing fits here: step back, never to return
                 dead[pos] = 1
                 token = out.pop()
                 pos -= size[token]
                 token = shorter[token]
+            while not dead[pos + size[token]]:
+                if out:
+                    fits = known(out[-1] << 32 | token)
+                    if fits is None:
+                        fits = self.fits(out[-1], token)
+                    if not fits:
+                        break
+                out.append(token)
+                pos += size[token]
+                if pos == end:
+                    return out
+                token = self._longest_at(text, pos)
 
     def encode_piece(self, piece: str) -> bytes:
         """Packed ids of one pre-token."""
@@ -203,10 +201,18 @@ class ByteBpe:
         whole = self.rank.get(text)
         if whole is not None:
             return self.packed[whole]
-        # the longest tokens one behind the other are mostly the encoding
+        # the longest tokens one behind the other are the encoding, up to two that don't fit
         out = [token for _, token in self.automaton.iter_long(text)]
-        if not all(map(self.fits, out, out[1:])) or sum(map(self.size.__getitem__, out)) != len(text):
-            out = self._backtrack(text, out)
+        known, left = self.compatible.get, None
+        for i, right in enumerate(out):
+            if i:
+                fits = known(left << 32 | right)
+                if fits is None:
+                    fits = self.fits(left, right)
+                if not fits:
+                    out = self._backtrack(text, out[:i], right)
+                    break
+            left = right
         packed = self.packed
         return b"".join([packed[t] for t in out])
 
