@@ -60,38 +60,84 @@ def dedupe_id_or_url(
 ) -> DataFrame:
     """Keep a row unless an earlier *kept* row has the same id or the same URL.
 
+    Rows come in the order of ``order``, then id, then URL; of rows equal in
+    all three one stays.  Rows without id (or URL) are tested on the other
+    column only, rows without both always stay.
+
     Rows are edges between their id and their URL; the kept rows are the
     first-come matching of that graph.  Each round keeps every row that is
-    first for both its id and its URL, then drops all rows touching a kept id
-    or URL; rounds repeat until nothing is left, which is exact.  If the id is
-    a function of the URL (the usual case) one round settles everything.  Rows
-    without id (or URL) are tested on the other column only.
+    first for both its id and its URL, drops all rows touching a kept id or
+    URL, and settles the paths that are left by pointer jumping; rounds repeat
+    until nothing is left, which is exact.  If the id is a function of the URL
+    (the usual case) one round settles everything, and chains of re-listings
+    take the logarithm of their length.  For graphs that are no paths no such
+    bound on the rounds is known.
     """
-    def key_of(name: str) -> Column:
-        own = F.concat(F.lit("\x00"), F.col(order).cast("string"))
-        return F.coalesce(F.nullif(F.col(name), F.lit("")), own)
-
+    own_id, own_url = F.nullif(F.col(id_col), F.lit("")), F.nullif(F.col(url_col), F.lit(""))
+    named = df.withColumns({
+        "_o": F.col(order),
+        "_id": F.coalesce(own_id, F.concat(F.lit("\x00"), own_url)),
+        "_url": F.coalesce(own_url, F.concat(F.lit("\x00"), own_id)),
+    })
     # rows with the same id and URL share their fate with the first of them
-    open_rows = (
-        df.select(F.col(order).alias("_o"), key_of(id_col).alias("_id"), key_of(url_col).alias("_url"))
-        .groupBy("_id", "_url")
-        .agg(F.min("_o").alias("_o"))
-    )
+    open_rows = named.where("_id IS NOT NULL").groupBy("_id", "_url").agg(F.min("_o").alias("_o")).select(
+        F.struct("_o", "_id", "_url").alias("r"))
     kept_rounds = []
     while True:
-        first_id = open_rows.groupBy("_id").agg(F.min("_o").alias("_o"))
-        first_url = open_rows.groupBy("_url").agg(F.min("_o").alias("_o"))
-        kept = cut_lineage(first_id.join(first_url, "_o").select("_o", "_id", "_url"))
-        kept_rounds.append(kept)
-        open_rows = cut_lineage(
-            open_rows.join(kept.select("_id"), "_id", "left_anti").join(kept.select("_url"), "_url", "left_anti")
-        )
-        if open_rows.isEmpty():
-            break
-    winners = kept_rounds[0].select("_o")
+        first_id = open_rows.groupBy("r._id").agg(F.min("r").alias("r")).select("r")
+        first_url = open_rows.groupBy("r._url").agg(F.min("r").alias("r")).select("r")
+        for keep in (lambda: first_id.join(first_url, "r", "left_semi"), lambda: _kept_on_paths(open_rows)):
+            kept = cut_lineage(keep())
+            kept_rounds.append(kept)
+            open_rows = cut_lineage(_untouched(open_rows, kept))
+            if open_rows.isEmpty():
+                break
+        else:
+            continue
+        break
+    winners = kept_rounds[0]
     for kept in kept_rounds[1:]:
-        winners = winners.unionByName(kept.select("_o"))
-    return df.join(winners, df[order] == winners["_o"], "left_semi")
+        winners = winners.unionByName(kept)
+    winners = winners.select("r.*")
+    alike = W.partitionBy("_o", "_id", "_url").orderBy(F.xxhash64(*(f.name for f in df.schema.fields if f.dataType.typeName() != "map")))
+    kept = named.join(winners, ["_o", "_id", "_url"], "left_semi").withColumn("_rank", F.row_number().over(alike)).where("_rank = 1")
+    return kept.unionByName(named.where("_id IS NULL").withColumn("_rank", F.lit(1))).select(*df.columns)
+
+
+def _untouched(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows whose id and URL no kept row has."""
+    ids, urls = kept.select(F.col("r._id").alias("_k")), kept.select(F.col("r._url").alias("_k"))
+    left = rows.join(ids, F.col("r._id") == F.col("_k"), "left_anti")
+    return left.join(urls, F.col("r._url") == F.col("_k"), "left_anti")
+
+
+def _kept_on_paths(rows: DataFrame) -> DataFrame:
+    """Kept rows of the descending paths among rows whose id and URL two rows have at most.
+
+    Such a row with one earlier neighbour is kept if that one is not, so along
+    a path kept and dropped rows alternate; each step of the pointers doubles
+    the distance to the path's first row.  Paths that start at a busier row
+    are left open, and so are rows between two earlier ones: they fall to a
+    neighbour or are first in the next round.
+    """
+    def sides(key: str, name: str) -> DataFrame:
+        return rows.groupBy(F.col(f"r.{key}").alias(name)).agg(F.count(F.lit(1)).alias(f"n{name}"), F.min("r").alias(f"lo{name}"))
+
+    seen = rows.join(sides("_id", "i"), F.col("r._id") == F.col("i")).join(sides("_url", "u"), F.col("r._url") == F.col("u"))
+    by_id, by_url = F.nullif(F.col("loi"), F.col("r")), F.nullif(F.col("lou"), F.col("r"))
+    simple = seen.where("ni <= 2 AND nu <= 2").where(by_id.isNull() | by_url.isNull())
+    earlier = F.coalesce(by_id, by_url)
+    paths = cut_lineage(simple.select(
+        "r", F.coalesce(earlier, F.col("r")).alias("to"), F.when(earlier.isNull(), 0).otherwise(1).alias("steps"), earlier.isNull().alias("first")))
+    while True:
+        ahead = paths.select(F.col("r").alias("at"), F.col("to").alias("next"), F.col("steps").alias("more"), F.col("first").alias("ends"))
+        moving = paths.where("NOT first").join(ahead, F.col("to") == F.col("at"))
+        if moving.isEmpty():
+            break
+        jumped = moving.select("r", F.col("next").alias("to"), ((F.col("steps") + F.col("more")) % 2).alias("steps"), F.col("ends").alias("first"))
+        still = paths.join(jumped.select(F.col("r").alias("moved")), F.col("r") == F.col("moved"), "left_anti")
+        paths = cut_lineage(still.unionByName(jumped))
+    return paths.where("first AND steps = 0").select("r")
 
 
 def normalise_listings(df: DataFrame, order: str = "seq") -> DataFrame:

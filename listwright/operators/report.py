@@ -61,14 +61,17 @@ def upper_median(df: DataFrame, column: str) -> DataFrame:
 def price_stats(df: DataFrame) -> DataFrame:
     """min, max, avg and upper median over non-zero prices, one row.
 
-    The average is over DECIMAL(15,2), so it does not depend on row order.
+    The average is over decimals, so it does not depend on row order; only
+    where a price has no place in DECIMAL(28,2) it is over doubles.
     """
     priced = df.where(_filled("price_numeric")).select("price_numeric")
     amount = F.col("price_numeric")
+    exact = amount.try_cast("decimal(28,2)")
+    average = F.when(F.count(exact) == F.count(amount), F.avg(exact).cast("double")).otherwise(F.avg(amount))
     basics = priced.agg(
         F.min(amount).alias("min_price"),
         F.max(amount).alias("max_price"),
-        F.round(F.avg(amount.cast("decimal(15,2)")).cast("double"), 2).alias("avg_price"),
+        F.round(average, 2).alias("avg_price"),
     )
     middle = upper_median(priced, "price_numeric").withColumnRenamed("median", "median_price")
     # two one-row tables put together by a constant key

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -13,6 +16,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # checkpoints that nothing refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # pages are large rows: keep the Arrow batches of the HTML stage small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
@@ -27,18 +32,21 @@ def build_session(app: str = "listwright", **conf: str) -> SparkSession:
 
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="listwright-")
+    folder = tempfile.mkdtemp(prefix="listwright-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of its machine.
+    Only a session without a cluster, as in tests, may do without: it gets a
+    folder of its own that goes when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return _local_folder()
 
@@ -55,13 +63,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a plain table scan at least one task per core before heavy row work.
-
-    Large tables have more splits than cores and pass unchanged; only a table
-    of few splits is redistributed.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listwright import schemas
 from listwright.operators import crawl, curate, quality, report, store
 from listwright.operators.store import ListingStore
+from listwright.session import cut_lineage
 
 
 def sequential_dedupe(rows):
@@ -31,10 +32,45 @@ def test_dedupe_id_or_url_is_the_sequential_result(spark, seed):
     assert got == sequential_dedupe(rows)
 
 
-def test_dedupe_long_chain(spark):
-    rows = [(n, f"i{(n + 1) // 2}", f"u{n // 2}") for n in range(9)]
-    df = spark.createDataFrame(rows, "seq long, listing_id string, listing_url string")
+@pytest.mark.parametrize("seed", range(2))
+def test_dedupe_repeated_order_numbers(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(rnd.randrange(12), f"i{rnd.randrange(9)}", f"u{rnd.randrange(9)}") for _ in range(50)]
+    df = spark.createDataFrame(rows, "seq long, listing_id string, listing_url string").repartition(5)
+    seen, want = set(), []
+    for row in sorted(set(rows)):
+        if not seen & set(row[1:]):
+            want.append(row)
+            seen |= set(row[1:])
+    assert sorted(map(tuple, curate.dedupe_id_or_url(df).collect())) == want
+
+
+def test_dedupe_long_chain(spark, monkeypatch):
+    rounds = []
+
+    def counted(df):
+        rounds.append(df)
+        return df.checkpoint(eager=True)
+
+    cut_lineage(spark.range(1))
+    monkeypatch.setattr(curate, "cut_lineage", counted)
+    rows = [(n, f"i{(n + 1) // 2}", f"u{n // 2}") for n in range(2000)]
+    df = spark.createDataFrame(rows, "seq long, listing_id string, listing_url string").repartition(4)
     assert sorted(r.seq for r in curate.dedupe_id_or_url(df).collect()) == sequential_dedupe(rows)
+    assert len(rounds) < 25
+
+
+def test_dedupe_of_nothing_and_of_rows_without_keys(spark):
+    schema = "seq long, listing_id string, listing_url string"
+    assert curate.dedupe_id_or_url(spark.createDataFrame([], schema)).count() == 0
+    assert curate.dedupe_id_or_url(spark.createDataFrame([(1, None, ""), (1, None, ""), (2, "", None)], schema)).count() == 3
+
+
+def test_average_price_beyond_usual_amounts(spark):
+    df = spark.createDataFrame([(1e15,), (3e15,), (0.0,), (None,)], "price_numeric double")
+    assert report.price_stats(df).first()["avg_price"] == 2e15
+    df = spark.createDataFrame([(1e300,), (1e300,)], "price_numeric double")
+    assert report.price_stats(df).first()["avg_price"] == 1e300
 
 
 def test_dedupe_first_is_idempotent_and_limits_groups_before_the_shuffle(spark):

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listwright.session import spread
-
 # listings with every defect the curation rules look for
 LISTINGS_SQL = """
 SELECT o_orderkey AS seq,
@@ -72,13 +70,17 @@ def on_duckdb(sql: str) -> str:
 
 
 def on_spark(spark: SparkSession, sf_dir: str, sql: str, wide: bool = False) -> DataFrame:
-    """``wide`` spreads the orders when heavy work per row follows."""
+    """``wide`` deals the narrow orders out to the shuffle partitions when heavy work per row follows."""
     tables = {name: table(spark, sf_dir, name) for name in _NAMES}
     if wide:
-        tables["orders"] = spread(tables["orders"])
+        tables["orders"] = dealt(tables["orders"])
     return spark.sql(sql, **tables)
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on_spark(spark, sf_dir, LISTINGS_SQL)
 

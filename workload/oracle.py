@@ -27,6 +27,17 @@ _DEDUPED = f"SELECT * FROM ({LC}) QUALIFY row_number() OVER (PARTITION BY listin
 
 ORACLE["dedupe_first"] = f"SELECT seq, listing_id, title, price_numeric FROM ({_DEDUPED})"
 ORACLE["dedupe_id_url"] = f"SELECT seq, listing_id, listing_url FROM ({_DEDUPED})"  # the id is a function of the URL here
+# along a chain kept and dropped lines alternate, from the end that comes first
+_CHAIN = """WITH l AS (SELECT l_orderkey AS g, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS n,
+  count(*) OVER (PARTITION BY l_orderkey) AS c FROM lineitem),
+ r AS (SELECT 'chain' AS kind, g, n, CASE WHEN g % 2 = 0 THEN g * 100 + n ELSE g * 100 + 50 - n END AS seq,
+   concat(g, '-', n // 2) AS listing_id, concat(g, '-u', (n + 1) // 2) AS listing_url FROM l
+   WHERE CASE WHEN g % 2 = 0 THEN n % 2 = 1 ELSE (c - n) % 2 = 0 END
+  UNION ALL SELECT * FROM (SELECT 'id', g, n, g, 'hot', concat('i', g) FROM l WHERE n = 1 ORDER BY g LIMIT 1)
+  UNION ALL SELECT * FROM (SELECT 'url', g, n, g, CASE WHEN g % 3 = 0 THEN '' ELSE concat('h', g) END, 'hot' FROM l WHERE n = 1 ORDER BY g LIMIT 1)
+  UNION ALL SELECT 'blank', g, n, g, NULL, '' FROM l WHERE n = 2)"""
+ORACLE["dedupe_id_url_chain"] = f"""{_CHAIN} SELECT * FROM r UNION ALL SELECT concat('b-', kind), g, n, seq,
+ CASE WHEN listing_id = '' THEN '' ELSE 'b' || listing_id END, CASE WHEN listing_url = '' THEN '' ELSE 'b' || listing_url END FROM r"""
 ORACLE["normalise_listings"] = f"""SELECT seq, listing_id, price_numeric,
  concat('pool=', CASE WHEN rooms > 3 THEN 'true' ELSE 'false' END, '|vue=') AS criteria,
  CAST(CASE WHEN image_count > 0 THEN 1 ELSE 0 END AS INTEGER) AS images FROM ({_DEDUPED})"""

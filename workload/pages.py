@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.session import spread
-from workload.base import facts, table
+from workload.base import dealt, facts, table
 
 SITE_1 = "https://www.classifieds.example"
 SITE_2 = "https://www.refline.example"
@@ -158,7 +157,7 @@ _NEXT = {
 
 def result_pages(spark: SparkSession, sf_dir: str, profile: str) -> DataFrame:
     """Result pages (crawl_id, page_no, k, html); every link occurs twice."""
-    orders = spread(table(spark, sf_dir, "orders")).selectExpr(
+    orders = dealt(table(spark, sf_dir, "orders").select("o_orderkey")).selectExpr(
         "o_orderkey AS k", "o_orderkey div 8 AS crawl_id", "CAST(o_orderkey % 8 + 1 AS INT) AS page_no"
     )
     link = RESULT_LINKS[profile]

@@ -11,7 +11,7 @@ from listwright.functions import dates, text, urls, values
 from listwright.operators import crawl, curate, document, export, links, quality, report, store
 from listwright.plans import classifieds, common, portal, refline
 from listwright.plans.curated import PROFILES
-from listwright.session import scratch_path, spread
+from listwright.session import scratch_path
 from listwright.settings import CLASSIFIEDS, PORTAL, REFLINE
 from listwright.sources import exports, pages as page_source, search
 from listwright.streaming import intake
@@ -56,6 +56,26 @@ def dedupe_id_url(spark, sf_dir):
     return curate.dedupe_id_or_url(listings(spark, sf_dir)).select("seq", "listing_id", "listing_url")
 
 
+@query
+def dedupe_id_url_chain(spark, sf_dir):
+    """Re-listings in chains: each line shares its id with one neighbour and its URL with the other.
+
+    Both sources repeat the same order numbers; some lines share one id or one
+    URL over all orders, some have neither.
+    """
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS g", "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS n")
+    chains = lines.selectExpr(
+        "'chain' AS kind", "g", "n", "IF(g % 2 = 0, g * 100 + n, g * 100 + 50 - n) AS seq",
+        "concat(g, '-', n div 2) AS listing_id", "concat(g, '-u', (n + 1) div 2) AS listing_url")
+    hot_id = lines.where("n = 1").selectExpr("'id' AS kind", "g", "n", "g AS seq", "'hot' AS listing_id", "concat('i', g) AS listing_url")
+    hot_url = lines.where("n = 1").selectExpr("'url' AS kind", "g", "n", "g AS seq", "IF(g % 3 = 0, '', concat('h', g)) AS listing_id", "'hot' AS listing_url")
+    blank = lines.where("n = 2").selectExpr("'blank' AS kind", "g", "n", "g AS seq", "CAST(NULL AS STRING) AS listing_id", "'' AS listing_url")
+    one = curate.union_sources(chains, hot_id, hot_url, blank)
+    other = one.selectExpr("concat('b-', kind) AS kind", "g", "n", "seq", "IF(listing_id = '', '', concat('b', listing_id)) AS listing_id", "IF(listing_url = '', '', concat('b', listing_url)) AS listing_url")
+    return curate.dedupe_id_or_url(one.unionByName(other))
+
+
 @query
 def normalise_listings(spark, sf_dir):
     rows = listings(spark, sf_dir).withColumn(
@@ -316,7 +336,7 @@ def store_top_cities(spark, sf_dir):
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: Column) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents")).select("doc_id", *columns)
+    return table(spark, sf_dir, "documents").select("doc_id", *columns)
 
 
 @query
@@ -349,7 +369,7 @@ def criteria_key(spark, sf_dir):
 
 
 def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document.with_document(spread(table(spark, sf_dir, "pages")))
+    return document.with_document(table(spark, sf_dir, "pages"))
 
 
 @query
@@ -382,7 +402,7 @@ def nodes_first(spark, sf_dir):
 
 @query
 def nodes_rows(spark, sf_dir):
-    rows = document.nodes(spread(table(spark, sf_dir, "pages")))
+    rows = document.nodes(table(spark, sf_dir, "pages"))
     return rows.where("tag IN ('h1', 'title')").select("page_id", "tag", "text")
 
 
@@ -668,7 +688,7 @@ def stream_extract(spark, sf_dir):
 def stream_dedupe(spark, sf_dir):
     base = scratch_path(spark, "stream-dedupe")
     stream = intake.read_stream(spark, sf_dir, "events.parquet").withColumn("listing_id", F.col("user_id").cast("string"))
-    kept = intake.dedupe_stream(stream, "ts", "3650 days").select("listing_id")
+    kept = intake.dedupe_stream(stream, "ts", "40 days").select("listing_id")
     return intake.run_to_table(kept, f"{base}/out", f"{base}/checkpoint")
 
 
@@ -680,7 +700,7 @@ def stream_merge(spark, sf_dir):
     last = events.agg(F.max("event_id")).first()[0]
     for i in range(4):
         arrived = events.where(F.floor(F.col("event_id") * 4 / (last + 1)) == i)
-        arrived.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        arrived.write.mode("append").parquet(f"{base}/in")
     stream = intake.read_stream(spark, f"{base}/in", files_per_trigger=1)
     final = intake.fold_stream(
         stream, target(spark, sf_dir), lambda t, b: store.merge_narrow(t, batch(b), as_of()), "stream-merge-state"
