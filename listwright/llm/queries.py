@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, langid, packing, pii, secret_scan, sharding, simhash, spotsigs, token_counts, topk
+from listwright.llm import bpe, hard_negatives, langid, packing, pii, quality_rules, runs, secret_scan, sharding, simhash, spotsigs, token_counts, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +71,21 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_language_id, page_languages, op4_token_counts, op5_sharding, op6_secrets, op7_simhash, op8_pii, op9_spotsigs, op10_topk)}
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.planted(table(spark, sf_dir, "documents")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    relabelled = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(relabelled, F.col("vec_id") % 50 == 0)
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.summary(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_language_id, page_languages, op4_token_counts, op5_sharding, op6_secrets, op7_simhash, op8_pii, op9_spotsigs, op10_topk, op11_runs, op12_hard_negatives, op13_quality)}
 
 ORACLE: dict[str, str] = {
     # the lookup table is stated; the placement is worked out from the keys
@@ -88,4 +102,6 @@ ORACLE: dict[str, str] = {
         FROM v q JOIN v p ON q.vec_id % 50 = 0 AND p.vec_id <> q.vec_id
         QUALIFY rank <= 5
     """,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_quality": quality_rules.oracle(),
 }
