@@ -8,7 +8,8 @@ at least ``1 - max_lost`` of the characters of all its lines with a word, and
 when the plain counts below don't rule it out.
 
 Everything is a built-in expression over one row, so there is no shuffle and no
-Python worker. Repeated five-word windows are found through their hashes: a
+Python worker; filter on other columns before, because filters on the results
+stay above the expressions. Repeated five-word windows are found through their hashes: a
 text whose hashes all differ is done, in others equal neighbours of the sorted
 hashes are compared word by word.
 """
@@ -43,8 +44,8 @@ def _any(text: Column) -> Column:
     return found
 
 
-def line_fails(line: Column, boilerplate_possible: Column) -> Column:
-    """Whether a line breaks a rule; lines without a word break none.
+def line_fails(line: Column, boilerplate: bool = True) -> Column:
+    """Whether a line breaks a rule, with or without boilerplate; lines without a word break none.
 
     ``items`` is the number of blanks plus one. Navigation: two separators or
     more, at least one for three items. Punctuation: no sentence mark at a
@@ -54,8 +55,8 @@ def line_fails(line: Column, boilerplate_possible: Column) -> Column:
     separators = F.regexp_count(line, F.lit(SEPARATOR))
     navigation = (separators >= 2) & (separators * 3 >= items)
     flood = (F.regexp_count(line, F.lit(SYMBOL)) * 2 > items) | (F.length(line) - F.length(F.replace(line, F.lit("!"))) > items / 2)
-    boilerplate = F.when(boilerplate_possible, _any(F.lower(line))).otherwise(False)
-    return line.rlike(WORD) & (~line.rlike(SENTENCE_END) | flood | navigation | boilerplate)
+    broken = ~line.rlike(SENTENCE_END) | flood | navigation
+    return line.rlike(WORD) & (broken | _any(F.lower(line)) if boilerplate else broken)
 
 
 def _counts(rows: DataFrame) -> DataFrame:
@@ -72,14 +73,14 @@ def _counts(rows: DataFrame) -> DataFrame:
     starts = F.slice("words", F.lit(1), F.greatest(F.col("n_words") - (WINDOW - 1), F.lit(0)))
     rows = rows.withColumn("hashes", F.transform(starts, window))
     repeated = F.size(F.array_distinct("hashes")) < F.size("hashes")
-    rows = rows.withColumn("sorted", F.when(repeated, F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    rows = rows.withColumn("sorted", F.when(repeated, F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
 
     def same(here: Column, there: Column) -> Column:
         equal = F.slice("words", here["i"] + 1, F.lit(WINDOW)) == F.slice("words", there["i"] + 1, F.lit(WINDOW))
         return F.coalesce(F.when(here["h"] == there["h"], equal), F.lit(False))
 
     found = F.filter("sorted", lambda s, j: same(s, F.get("sorted", j - 1)) | same(s, F.get("sorted", j + 1)))
-    rows = rows.withColumn("places", F.array_sort(F.transform(found, lambda s: s["i"])))
+    rows = rows.withColumn("places", F.sort_array(F.transform(found, lambda s: s["i"])))
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
 
     def cover(state: Column, i: Column) -> Column:
@@ -96,13 +97,16 @@ def _counts(rows: DataFrame) -> DataFrame:
 
 def _lines(rows: DataFrame, max_lost: float) -> DataFrame:
     """Adds what the line rules leave to rows with the columns of `_counts`."""
-    rows = rows.withColumn("boilerplate", _any(F.lower("t")))
-    rows = rows.withColumn("failed", F.transform("lines", lambda line: line_fails(line, F.col("boilerplate"))))
+    # phrases are looked for in the whole text first, outside the lines' expression, which would repeat it for each line
+    rows = rows.withColumn("low", F.lower("t"))
+    rows = rows.withColumn("failed", F.when(_any(F.col("low")), F.transform("lines", lambda line: line_fails(line))).otherwise(F.transform("lines", lambda line: line_fails(line, False))))
     measured = F.zip_with("lines", "failed", lambda line, bad: F.when(bad, F.length(line)).otherwise(0))
     size = lambda lengths: F.aggregate(lengths, F.lit(0), lambda n, x: n + x)
     rows = rows.withColumns({"lost_chars": size(measured), "line_chars": size(F.transform("worded", F.length))})
     base = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
-    return rows.withColumn("base_failed", base).withColumn("kept", ~base & (F.col("lost_chars") <= F.col("line_chars") * F.lit(max_lost)))
+    passed = ~F.col("base_failed") & (F.col("lost_chars") <= F.col("line_chars") * F.lit(max_lost))
+    # marked as not deterministic: a filter on a result must not be moved below, where it would work everything out again for each word
+    return rows.withColumn("base_failed", base).withColumn("kept", passed & (F.monotonically_increasing_id() >= 0))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
