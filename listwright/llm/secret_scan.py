@@ -30,10 +30,7 @@ KINDS = ("assign", "access", "hex", "novel")
 
 SENSITIVE = re.compile(r"passw|passphrase|pwd|secret|token|api.?key|private.?key|access.?key|credential|authorization|bearer|signature", re.A | re.I)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-MIXED = re.compile(r"(?=.*[0-9]).*[A-Za-z]", re.A)  # plain words and numbers are no candidates
 IDENTIFIER = re.compile(r"\b[A-Za-z_]{4,24}\b", re.A)  # without digits, so that copied secrets don't get in
-REACH = 64  # characters behind a sensitive word in which a candidate may start
-AROUND = 256  # characters on either side that a candidate is measured against
 
 SPANS = "array<struct<kind:string,start:int,end:int,novelty:int>>"
 
@@ -41,18 +38,23 @@ SPANS = "array<struct<kind:string,start:int,end:int,novelty:int>>"
 class Scanner:
     """Finds the secrets of single texts."""
 
-    def __init__(self, dictionary: bytes, least_novelty: float) -> None:
+    def __init__(self, dictionary: bytes, least_novelty: float, reach: int, around: int) -> None:
         options = {}
         if len(dictionary) >= 8:
             options["dict_data"] = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.compressor = zstandard.ZstdCompressor(level=3, write_content_size=False, **options)
-        self.least = least_novelty
+        self.least, self.reach, self.around = least_novelty, reach, around
 
     def novelty(self, text: str, start: int, end: int) -> int:
-        """Bytes that a span adds to its compressed surroundings."""
-        before, after = text[max(0, start - AROUND):start], text[end:end + AROUND]
+        """Bytes that a span adds to its compressed surroundings.
+
+        Other copies of the span are blanked out of the surroundings, so that
+        each copy has the novelty of a single one.
+        """
+        own = text[start:end]
+        before, after = text[max(0, start - self.around):start].replace(own, " "), text[end:end + self.around].replace(own, " ")
         size = lambda t: len(self.compressor.compress(t.encode()))
-        return max(0, size(before + text[start:end] + after) - size(before + after))
+        return max(0, size(before + own + after) - size(before + after))
 
     def base(self, text: str) -> Iterator[tuple[str, int, int]]:
         low = text.lower()
@@ -72,18 +74,18 @@ class Scanner:
         taken = sorted((a, b) for _, a, b in found)
         seen, at = -1, 0
         for m in SENSITIVE.finditer(text):
-            for c in CANDIDATE.finditer(text, max(m.end(), seen), m.end() + REACH + 4096):
-                if c.start() > m.end() + REACH:
+            for c in CANDIDATE.finditer(text, max(m.end(), seen), m.end() + self.reach + 4096):
+                if c.start() > m.end() + self.reach:
                     break
                 start, end = c.span()
-                if end == m.end() + REACH + 4096:  # goes on beyond the part searched
+                if end == m.end() + self.reach + 4096:  # goes on beyond the part searched
                     end = CANDIDATE.match(text, start).end()
                 seen = end
                 while at < len(taken) and taken[at][1] <= start:
                     at += 1
                 if at < len(taken) and taken[at][0] < end:
                     continue
-                if MIXED.match(text, start, end) and self.novelty(text, start, end) >= self.least * (end - start):
+                if self.novelty(text, start, end) >= self.least * (end - start):
                     found.append(("novel", start, end))
         found.sort(key=lambda s: (s[1], KINDS.index(s[0])))
         return [{"kind": k, "start": a, "end": b, "novelty": self.novelty(text, a, b)} for k, a, b in found]
@@ -92,7 +94,7 @@ class Scanner:
 def identifier_dictionary(docs: DataFrame, text: str = "text", min_share: float = 1e-4, size: int = 65_536) -> bytes:
     """The most frequent identifiers of all texts, the most frequent last, where zstandard finds them nearest."""
     found, out = 0, []
-    for item in frequent(docs, text, IDENTIFIER.findall, min_share, size // 4):
+    for item in frequent(docs, text, IDENTIFIER.findall, min_share, size // 4, exact=True):
         found += len(item) + 1
         if found > size:
             break
@@ -100,20 +102,25 @@ def identifier_dictionary(docs: DataFrame, text: str = "text", min_share: float
     return " ".join(reversed(out)).encode()
 
 
-def scan(docs: DataFrame, text: str = "text", out: str = "secrets", least_novelty: float = 0.65, dictionary: bytes | None = None) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", out: str = "secrets", least_novelty: float = 0.65, reach: int = 64, around: int = 256, dictionary: bytes | None = None) -> DataFrame:
     """Adds `out`, all spans (kind, start, end, novelty) by start, then kind.
 
     Places are code points, the end is exclusive. Null and empty texts have no
     spans (an empty array); rows are independent, so repeated rows and empty
     tables need no rule; other columns pass unchanged, one named `out` is
     replaced. `dictionary` replaces the one made of all texts of `docs`.
+
+    A candidate has 16 characters or more and starts within `reach` characters
+    behind a sensitive word; it is measured against `around` characters on
+    either side and is a secret when it adds `least_novelty` bytes a character
+    or more. Letters and digits need not be mixed.
     """
     names = [c for c in docs.columns if c != out]
     primed = docs.sparkSession.sparkContext.broadcast(identifier_dictionary(docs, text) if dictionary is None else dictionary)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("novelty", pa.int32())]))
 
     def run(batches):
-        scanner = Scanner(primed.value, least_novelty)
+        scanner = Scanner(primed.value, least_novelty, reach, around)
         for batch in batches:
             spans = [scanner.spans(t) for t in worker.texts(batch.column(text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, kind)], names=[*names, out])
@@ -136,7 +143,7 @@ def summary(docs: DataFrame, key: str = "doc_id", text: str = "text", **options)
 
     A null key stays null; see `scan` for null, empty and repeated texts.
     """
-    found = scan(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), **options)
+    found = scan(docs.select(*(c.alias(n) for c, n in zip(worker.columns([key, text]), ("key", "text")))), **options)
     kinds = F.col("secrets.kind")
     counts = [F.size(F.filter(kinds, _is(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     base = F.filter("secrets", lambda s: s["kind"] != "novel")

@@ -1,9 +1,8 @@
 """Token counts by a two-tier lookup on the map side.
 
 A first pass finds the frequent pre-tokens of all texts: each task keeps a
-bounded Misra-Gries summary and sends only entries that reach `min_share` of
-its own pre-tokens. A pre-token of that share in the whole corpus has it in at
-least one task, so none is missed. The token lengths of the `table_limit` most
+bounded Misra-Gries summary and sends only entries that reach a share of its
+own pre-tokens, a quarter of `min_share`, so no frequent one is missed. The token lengths of the `table_limit` most
 frequent ones are broadcast, a table of bounded size. The second pass sums
 lengths from this table; misses are encoded and kept in a worker's cache. No
 pre-token is shuffled, only the summaries' few entries are. Which tier answers

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from listwright.llm import pii, secret_scan
+from listwright.llm.frequent import frequent
 
 PII_TEXTS = [
     None, "", "a@b@c.d x@y.z@w.q 1.2.3.4.5.6.7.8 300.1.1.1 0001.2.3.255", "a@b.c_d@e.f.g", "4111 1111 1111 1111 and 4111-1111-1111-1112",
@@ -91,8 +92,40 @@ def test_secret_base_spans(spark):
 
 def test_novel_strings_near_sensitive_words(spark):
     known = "connection_timeout_seconds default_network_interface "
-    texts = ["the bearer credential Zx81kLmQ93vbTY7ahhQ2pp0Wn is here", "credential connection_timeout_seconds2 " + known, "Zx81kLmQ93vbTY7ahhQ2pp0Wn without any word", "token 4785380592391139"]
+    texts = ["the bearer credential Zx81kLmQ93vbTY7ahhQ2pp0Wn is here", "credential connection_timeout_seconds2 " + known, "Zx81kLmQ93vbTY7ahhQ2pp0Wn without any word"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = {r["doc_id"]: r for r in secret_scan.summary(docs, dictionary=(known * 20).encode()).collect()}
     assert rows[0]["spans"] == "novel:22:47"
-    assert rows[1]["spans"] == rows[2]["spans"] == rows[3]["spans"] == ""
+    assert rows[1]["spans"] == rows[2]["spans"] == ""
+
+
+def test_repeated_lines_and_keys_of_one_kind(spark):
+    key, letters, digits = "Zx81kLmQ93vbTY7ahhQ2pp0Wn", "qhwzkvxjpbtrmgcydfnslqxz", "48392017556482019384"
+    texts = [f"bearer {key}\nbearer {key}\nbearer {key}\n", f"bearer {letters}", f"the bearer {digits} is", f"bearer {letters[:6] * 4}", "signature network_interface_timeout"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in secret_scan.summary(docs, dictionary=b"network interface timeout network_interface_timeout " * 20).collect()}
+    assert rows[0]["spans"] == "novel:7:32,novel:40:65,novel:73:98"
+    assert rows[1]["spans"] == "novel:7:31" and rows[2]["spans"] == "novel:11:31" and rows[3]["spans"] == rows[4]["spans"] == ""
+    near = {r["doc_id"]: r["spans"] for r in secret_scan.summary(docs, dictionary=b"", reach=2).collect()}
+    assert near[0] and not secret_scan.summary(docs.selectExpr("doc_id", "concat('bearer    ', substring(text, 8)) AS text"), dictionary=b"", reach=2).where("doc_id = 1 AND spans <> ''").collect()
+
+
+def test_frequent_items_do_not_depend_on_the_split(spark):
+    rows = [("a " * 60 + " ".join(f"r{i}x{j}" for j in range(440)),) for i in range(20)] + [("b " * 10 + " ".join(f"q{i}x{j}" for j in range(490)),) for i in range(20)]
+    for parts in (1, 7, 40):
+        docs = spark.createDataFrame(rows, "text string").repartition(parts)
+        assert frequent(docs, "text", str.split, 0.01, 10, exact=True) == ["a", "b"]
+        assert frequent(docs, "text", str.split, 0.02, 10, exact=True) == ["a"] and frequent(docs, "text", str.split, 0.01, 1) == ["a"]
+    assert frequent(docs.limit(0), "text", str.split, 0.01, 10, exact=True) == []
+
+
+ACCOUNTS = ["NO93 8601 1117 947", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00", "ES91 2100 0418 4502 0005 1332", "FR14 2004 1010 0505 0001 3M02 606", "HU42 1177 3016 1111 1018 0000 0000", "GB29 NWBK 6016 1331 9268 19"]
+
+
+@pytest.mark.parametrize("after", [" BIC CAIXESBB", " SWIFT X", " 100 EUR", "", ". And", " IBAN AT61 1904 3002 3457 3201"])
+def test_accounts_before_upper_case_words(spark, after):
+    docs = spark.createDataFrame([(i, f"IBAN {a}{after}") for i, a in enumerate(ACCOUNTS)] + [(100 + i, f"x {a.replace(' ', '')}{after}") for i, a in enumerate(ACCOUNTS)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["spans"].split(",") for r in pii.summary(docs).collect()}
+    for i, a in enumerate(ACCOUNTS):
+        assert f"iban:5:{5 + len(a)}" in rows[i] and f"iban:2:{2 + len(a.replace(' ', ''))}" in rows[100 + i]
+        assert sum("iban" in s for s in rows[i]) == 1 + ("AT61" in after)
