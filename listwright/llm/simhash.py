@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from listwright.llm import worker
 from listwright.llm.components import components
-from listwright.session import cut_lineage
+from listwright.session import cut_lineage, scratch_path
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, of the Golay code
@@ -59,7 +59,7 @@ def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
     """The columns of `docs` but `text`, and `fp` long (the bits as a signed integer)."""
     others = [c for c in docs.columns if c not in (text, "fp")]
-    source = docs.select(*worker.columns(others), F.col(text).alias("fp"))
+    source = docs.select(*worker.columns(others), worker.columns([text])[0].alias("fp"))
     schema = docs.select(*worker.columns(others)).schema.add("fp", "long")
 
     def run(batches):
@@ -188,17 +188,10 @@ def links(fps: DataFrame, max_distance: int = 4, block: int = 2048) -> DataFrame
     return grouped.repartition("group").sortWithinPartitions("group").mapInPandas(compare, "a long, b long")
 
 
-def _classes(docs: DataFrame, key: str, text: str, words: int, max_distance: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """(key, fp) of each row, and (class_fp, component, component_id) of each distinct fingerprint."""
-    rows = cut_lineage(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), words=words, seed=seed))
-    classes = cut_lineage(rows.groupBy("fp").agg(F.min("key").alias("least")))
+def _named(classes: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, least, component) of each distinct fingerprint of `classes` (fp, least)."""
     of_class = components(links(classes, max_distance))
-    named = classes.join(of_class, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    # only components of several classes need their least key worked out
-    several = named.join(named.where("fp != component").select("component").distinct(), "component", "left_semi")
-    least = several.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "component", "left").select(F.col("fp").alias("class_fp"), "component", F.coalesce("component_id", "least").alias("component_id"))
-    return rows, ids
+    return classes.join(of_class, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, max_distance: int = 4, seed: int = 42) -> DataFrame:
@@ -210,7 +203,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     component's least unless all keys in it are null. Repeated rows give
     repeated results with one component; an empty table gives none.
     """
-    rows, ids = _classes(docs, key, text, words, max_distance, seed)
+    own, t = worker.columns([key, text])
+    rows = cut_lineage(fingerprints(docs.select(own.alias("key"), t.alias("text")), words=words, seed=seed))
+    named = _named(cut_lineage(rows.groupBy("fp").agg(F.min("key").alias("least"))), max_distance)
+    named = cut_lineage(named)
+    # a component of one class has its least key already; the others' are few rows
+    least = cut_lineage(named.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    ids = named.join(worker.sized(least.drop("n")), "component", "left").select(F.col("fp").alias("class_fp"), F.coalesce("component_id", "least").alias("component_id"))
     return rows.join(ids, F.col("fp") == F.col("class_fp")).select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -221,19 +220,40 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     Rows without a key stay only where no other row of their component has
     one. Rows that repeat the least key go by the fingerprint and then by the
     text's hash.
+
+    Each text is read once for its fingerprint, which is written beside the
+    row. Components are found from keys and fingerprints alone; the rows that
+    go are then left out by an anti join with their (key, fingerprint), which
+    moves no text while these fit a broadcast of checked size.
     """
-    rows, ids = _classes(docs, key, text, words, max_distance, seed)
-    first = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key", "fp")).alias("first")
-    kept = rows.join(ids, F.col("fp") == F.col("class_fp")).groupBy("component").agg(first).select(F.col("first.key").alias("kept_key"), F.col("first.fp").alias("kept_fp"))
-    whole = docs.select(F.struct(*worker.columns(docs.columns)).alias("row"), F.col(key).alias("key"))
-    at = docs.columns.index(text)
+    spark, at, names = docs.sparkSession, docs.columns.index(text), docs.columns
+    whole = docs.select(F.struct(*worker.columns(names)).alias("row"), worker.columns([key])[0].alias("key"))
 
     def tag(batches):
         for batch in batches:
             bits = np.array([fingerprint(t, words, seed) for t in worker.texts(batch.column("row").field(at))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits.view(np.int64))], names=["row", "key", "fp"])
 
-    tagged = whole.mapInArrow(tag, T.StructType([*whole.schema.fields, T.StructField("fp", T.LongType())]))
-    matched = tagged.join(kept, F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("fp") == F.col("kept_fp")))
-    rank = F.row_number().over(Window.partitionBy("key", "fp").orderBy(F.xxhash64(F.col("row")[text])))
-    return matched.withColumn("rank", rank).where("rank = 1").select("row.*")
+    path = scratch_path(spark, "simhash-rows")
+    whole.mapInArrow(tag, T.StructType([*whole.schema.fields, T.StructField("fp", T.LongType())])).write.parquet(path)
+    tagged = spark.read.parquet(path)
+    pairs = cut_lineage(tagged.groupBy("key", "fp").agg(F.count(F.lit(1)).alias("n")))
+    least = F.min(F.struct(F.col("key").isNull().alias("unnamed"), "key")).alias("least")
+    named = _named(cut_lineage(pairs.groupBy("fp").agg(least)), max_distance)
+    first = named.groupBy("component").agg(F.min(F.struct("least.unnamed", "least.key", "fp")).alias("first"))
+    kept = cut_lineage(first.select(F.col("first.key").alias("kept_key"), F.col("first.fp").alias("kept_fp")))
+
+    def matching(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        return left.join(right, left["key"].eqNullSafe(right["kept_key"]) & (left["fp"] == right["kept_fp"]), how)
+
+    def named_like(table: DataFrame) -> DataFrame:
+        return cut_lineage(table.select(F.col("key").alias("kept_key"), F.col("fp").alias("kept_fp")))
+
+    gone = named_like(matching(pairs, kept, "left_anti"))
+    repeated = named_like(matching(pairs.where("n > 1"), kept, "left_semi"))
+    staying = matching(tagged, worker.sized(gone), "left_anti")
+    if repeated.isEmpty():
+        return staying.select("row.*")
+    rank = F.row_number().over(Window.partitionBy("key", "fp").orderBy(F.xxhash64(F.col("row").getField(text))))
+    several = matching(tagged, worker.sized(repeated), "left_semi").withColumn("rank", rank).where("rank = 1")
+    return matching(staying, worker.sized(repeated), "left_anti").select("row.*").unionByName(several.select("row.*"))

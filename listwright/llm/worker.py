@@ -8,7 +8,7 @@ from collections.abc import Callable
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,3 +33,11 @@ def texts(column: pa.Array | pa.ChunkedArray):
 def columns(names: list[str]) -> list[Column]:
     """Columns by their exact names, whatever characters they hold."""
     return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of short rows, to be broadcast if it has at most `rows`; beyond that Spark shuffles it."""
+    return F.broadcast(table) if table.count() <= rows else table
