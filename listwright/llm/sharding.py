@@ -64,10 +64,12 @@ def place(rows: DataFrame, key: str, shards: list[str], size: int = SIZE) -> Dat
     an empty table gives none.
     """
     names = [c for c in rows.columns if c not in ("slot", "shard")]
+    held = F.struct(*worker.columns(names)).alias("row")
     whole = F.to_json(F.struct(*worker.columns(names)))
-    keyed = rows.select(*worker.columns(names), slot_of(F.coalesce(F.col(f"`{key}`").cast("string"), whole), size).alias("slot"))
+    keyed = rows.select(held, slot_of(F.coalesce(worker.columns([key])[0].cast("string"), whole), size).alias("slot"))
     table = F.broadcast(table_frame(rows.sparkSession, shards, size))
-    return keyed.join(table, F.col("slot") == F.col("place")).drop("place")
+    placed = keyed.join(table, F.col("slot") == F.col("place"))
+    return placed.select(*[F.col("row").getField(c).alias(c) for c in names], "slot", "shard")
 
 
 def write(rows: DataFrame, key: str, shards: list[str], path: str, size: int = SIZE) -> None:
