@@ -18,11 +18,13 @@ hosts. Text that no language explains better than chance is ``und``.
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,15 +66,28 @@ class Model:
         return total
 
 
-def train(rows: DataFrame, text: str = "text", language: str = "lang", sample_rows: int = 8000) -> Model:
-    """A model from a sample of about `sample_rows` labelled rows, all if there are fewer.
+def train(rows: DataFrame, text: str = "text", language: str = "lang", rows_per_language: int = 2000, max_languages: int = 500) -> Model:
+    """A model of every language that labels a row, from a bounded sample of each one's texts.
 
-    Rows are drawn by the hash of their text, so the sample is the same at
-    every run. Null labels and texts are left out.
+    The languages are those of all labelled rows. Of each, the
+    `rows_per_language` different texts with the least hashes are learned, all
+    if there are fewer, so a rare language is known at every size of the table
+    and the sample is the same at every run. Null labels and texts are left
+    out. A column with more than `max_languages` labels holds no languages and
+    raises ValueError; the model's size is bounded by it.
     """
-    labelled = rows.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(F.col(language).cast("string").alias("language"), F.col(text).alias("text"))
-    every = max(1, labelled.count() // sample_rows)
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
+    l, t = worker.columns([language, text])
+    labelled = rows.where(l.isNotNull() & t.isNotNull()).select(l.cast("string").alias("language"), t.alias("text")).withColumn("h", F.xxhash64("text"))
+    # each task sends few hashes a language; the last of them bounds the sample
+    distinct = labelled.select("language", "h").distinct()
+    least = distinct.withColumn("rank", F.row_number().over(Window.partitionBy("language").orderBy("h"))).where(F.col("rank") <= rows_per_language)
+    bounds = least.groupBy("language").agg(F.max("h").alias("bound")).orderBy("language").limit(max_languages + 1).collect()
+    if len(bounds) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    if not bounds:
+        return Model({})
+    known = rows.sparkSession.createDataFrame([(r["language"], r["bound"]) for r in bounds], "known string, bound long")
+    sample = labelled.join(F.broadcast(known), F.col("language") == F.col("known")).where("h <= bound").groupBy("language", "h").agg(F.min("text").alias("text"))
 
     def count(frames):
         counts: dict[str, np.ndarray] = {}
@@ -85,11 +100,10 @@ def train(rows: DataFrame, text: str = "text", language: str = "lang", sample_ro
 
     # counts of at most `SLOTS` slots a language leave the cluster
     found = sample.mapInPandas(count, "language string, slot int, n long").groupBy("language", "slot").agg(F.sum("n").alias("n"))
-    counts: dict[str, np.ndarray] = {}
-    for r in found.groupBy("language").agg(F.collect_list(F.struct("slot", "n")).alias("c")).collect():
-        own = counts[r["language"]] = np.zeros(SLOTS, np.int64)
+    counts = {r["language"]: np.zeros(SLOTS, np.int64) for r in bounds}
+    for r in found.groupBy("language").agg(F.collect_list(F.struct("slot", "n")).alias("c")).toLocalIterator():
         for slot, n in r["c"]:
-            own[slot] = n
+            counts[r["language"]][slot] = n
     return Model(counts)
 
 
@@ -110,19 +124,21 @@ def priors(rows: DataFrame, model: Model, host: Column, domain: Column, text: st
     host: they get no row here and the overall shares later.
     """
     n = len(model.languages)
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    # with its class, because workers need no copy of this package
+    shared = rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     names = [f"s{i}" for i in range(n)]
 
     def weigh(batches):
+        model = pickle.loads(shared.value)
         for batch in batches:
             weights = []
             for t in worker.texts(batch.column("text")):
-                odds = _text_log_odds(shared.value, t, temper)
+                odds = _text_log_odds(model, t, temper)
                 weights.append(np.zeros(n) if odds is None else _posterior(odds))
             table = np.array(weights).reshape(-1, n)
             yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("domain"), *(pa.array(table[:, i]) for i in range(n))], names=["host", "domain", *names])
 
-    source = rows.select(host.cast("string").alias("host"), domain.cast("string").alias("domain"), F.col(text).alias("text"))
+    source = rows.select(host.cast("string").alias("host"), domain.cast("string").alias("domain"), worker.columns([text])[0].alias("text"))
     weights = source.mapInArrow(weigh, "host string, domain string, " + ", ".join(f"{c} double" for c in names))
     by_host = weights.groupBy("host", "domain").agg(*[F.sum(c).alias(c) for c in names])
     path = scratch_path(rows.sparkSession, "langid-hosts")
@@ -171,10 +187,10 @@ def identify(
         F.struct(*worker.columns(names)).alias("row"), host.cast("string").alias("own_host"),
         (null if declared is None else F.lower(declared)).alias("declared"), (null if suffix is None else F.lower(suffix)).alias("suffix"))
     joined = rows.join(table.where("host IS NOT NULL"), F.col("own_host") == F.col("host"), "left").select("row", "declared", "suffix", "prior")
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), names.index(text)
+    shared, at = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model)), names.index(text)
 
     def run(batches):
-        m = shared.value
+        m = pickle.loads(shared.value)
         known = {c: i for i, c in enumerate(m.languages[:-1])}
 
         def said(name: str | None, reliability: float) -> np.ndarray | float:
@@ -204,6 +220,23 @@ def identify(
     return done.select(*[F.col("row")[c].alias(c) for c in names], F.col("found").alias(language), F.col("sure").alias(confidence))
 
 
+def document_evidence(docs: DataFrame, text: str = "text", source: str = "source") -> dict[str, Column]:
+    """What documents say besides their words: host, domain, declared language and address suffix.
+
+    The source is the host; where it is a name with dots, its last two parts
+    are the domain and a last part of two letters is the suffix. The declared
+    language is that of the first html or body tag in the text. Absent evidence
+    is null and says nothing.
+    """
+    t, s = worker.columns([text, source])
+    host = F.lower(F.regexp_replace(s, r"^[A-Za-z][A-Za-z0-9+.-]*+://|[/:?#].*$", ""))
+    found = lambda c, pattern: F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+    return {
+        "host": host, "domain": found(host, r"([^.]++\.[^.]++)$"), "suffix": found(host, r"\.([a-z]{2})$"),
+        "declared": F.when(t.contains("<"), found(t, r"(?i)<(?:html|body)\b[^>]*?\b(?:xml:)?lang\s*+=\s*+[\"']?([a-z]{2,3})\b")),
+    }
+
+
 def page_evidence(pages: DataFrame) -> DataFrame:
     """Adds text, host, domain, declared and suffix to raw pages (url, html)."""
     html = F.regexp_replace(F.col("html"), r"(?is)<(script|style)\b[^>]*+>.*?</\1\s*+>|<!--.*?-->|<[^>]*+>|&[#A-Za-z0-9]++;", " ")

@@ -21,12 +21,44 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from listwright.llm import worker
-from listwright.llm.bpe import tokenizer
+from listwright.llm.bpe import ByteBpe
+
+
+class Encoder(ByteBpe):
+    """The tokens to be packed.
+
+    Pre-tokens met for the first time go to an installed BPE library, which
+    merges by the rank of the result and not by a list of pairs. What it gives
+    is the encoding exactly when all neighbouring tokens are compatible, so
+    that is checked, and a pre-token that fails is encoded by ByteBpe. So are
+    very long ones, whose time in the library is not linear.
+    """
+
+    def __init__(self, path: str, cache: int = 600_000) -> None:
+        super().__init__(path, cache)
+        ranks = {name.encode("latin-1"): i for name, i in self.rank.items()}
+        self.merge = tiktoken.Encoding("pre-tokens", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode_piece(self, piece: str) -> bytes:
+        if len(piece) > 128:
+            return super().encode_piece(piece)
+        out, known, left = self.merge(piece), self.compatible.get, -1
+        for right in out:
+            if left >= 0:
+                fits = known(left << 32 | right)
+                if fits is None:
+                    fits = self.fits(left, right)
+                if not fits:
+                    return super().encode_piece(piece)
+            left = right
+        packed = self.packed
+        return b"".join([packed[t] for t in out])
+
 
 # A piece: number of its row, first token, end, and the row's running count of
 # loss-bearing tokens (None: every token but a piece's first bears loss).
@@ -194,10 +226,10 @@ def pack_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     no piece.
     """
     last = end_id.to_bytes(4, "little")
-    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    source = docs.select(*(c.alias(n) for c, n in zip(worker.columns([key, text]), ("key", "text"))))
 
     def rows_of(batch):
-        bpe = tokenizer(path)
+        bpe = worker.kept(("packing", path), lambda: Encoder(path))
         return ((bpe.encode(t) + last, None) for t in worker.texts(batch.column("text")))
 
     return _pack(source, rows_of, key, max_tokens, max_segments, max_loss, with_ids)
@@ -209,7 +241,7 @@ def pack(rows: DataFrame, key: str, ids: str = "ids", loss: str = "loss", max_to
     A null or short `loss` counts as 0 for the tokens it lacks; null and empty
     `ids` give no piece. Otherwise as `pack_texts`.
     """
-    source = rows.select(F.col(key).alias("key"), F.col(ids).cast("array<int>").alias("ids"), F.col(loss).cast("array<int>").alias("loss"))
+    source = rows.select(*(c.cast(kind).alias(n) if kind else c.alias(n) for c, n, kind in zip(worker.columns([key, ids, loss]), ("key", "ids", "loss"), (None, "array<int>", "array<int>"))))
 
     def rows_of(batch):
         for i, l in zip(batch.column("ids"), batch.column("loss")):

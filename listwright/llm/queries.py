@@ -27,7 +27,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = langid.identify(docs, langid.train(docs), host=F.col("source"))
+    found = langid.identify(docs, langid.train(docs), **langid.document_evidence(docs))
     return found.select("doc_id", "language", "confidence")
 
 

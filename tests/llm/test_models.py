@@ -1,5 +1,10 @@
 """Search, sharding, language identification, the pipeline and all registered queries."""
 
+import hashlib
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +63,20 @@ def test_cover_tree_covers():
             assert sorted(tree.span[c] for c in children)[0][0] == start and sum(tree.span[c][1] - tree.span[c][0] for c in children) == end - start
 
 
+def test_claiming_order():
+    """Slot by slot: the shards take turns, each takes the first free slot of its walk."""
+    shards, size = [f"s{i}" for i in range(7)], 101
+    number = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
+    walks = [[(number(f"offset {s}") + k * (number(f"step {s}") % (size - 1) + 1)) % size for k in range(size)] for s in shards]
+    owner = {}
+    while len(owner) < size:
+        for i, walk in enumerate(walks):
+            free = [slot for slot in walk if slot not in owner]
+            if free:
+                owner[free[0]] = i
+    assert sharding.lookup_table(shards, size) == [owner[i] for i in range(size)]
+
+
 def test_lookup_table():
     shards = [f"s{i}" for i in range(10)]
     table = sharding.lookup_table(shards, 1009)
@@ -81,6 +100,9 @@ def test_placement(spark, tmp_path):
     assert len({r["shard"] for r in got if r["doc_id"] is None}) > 40
     assert all(sharding.lookup_table(SHARDS)[r["slot"]] == r["shard"] for r in got)
     assert sharding.place(frame.limit(0), "doc_id", SHARDS).collect() == []
+    odd = sharding.place(frame.selectExpr("doc_id AS `a.id`", "text AS place", "1 AS row", "2 AS shard"), "a.id", SHARDS)
+    assert odd.columns == ["a.id", "place", "row", "slot", "shard"]
+    assert sorted(r["slot"] for r in odd.where("`a.id` IS NOT NULL").collect()) == sorted(r["slot"] for r in got if r["doc_id"] is not None)
     sharding.write(frame, "doc_id", SHARDS, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows)
 
@@ -109,6 +131,110 @@ def test_evidence_is_fused(spark, documents):
     assert langid.identify(docs.limit(0), model, host=F.col("host")).collect() == []
 
 
+def test_posteriors_equal_the_plain_formula(spark, documents):
+    """Every row's language and confidence against the formula written out, with two levels of hosts and declared languages."""
+    rows = documents.where("doc_id % 3 = 0").withColumns({
+        "h": F.concat(F.lit("h"), (F.col("doc_id") % 11).cast("string"), F.lit("."), F.col("source")), "d": F.col("source"),
+        "say": F.when(F.col("doc_id") % 4 == 0, F.array(*map(F.lit, ("de", "fr", "xx")))[(F.col("doc_id") % 3).cast("int")]), "suf": F.when(F.col("doc_id") % 5 == 0, F.lit("at"))})
+    extra = [(90_000, None, "en", "src1", 0, None, None, None, None), (90_001, "and the of", "en", "src1", 0, None, None, None, "mx")]
+    rows = rows.union(spark.createDataFrame(extra, rows.schema))
+    model = langid.train(documents)
+    names = model.languages
+    n = len(names)
+
+    def likelihood(text):
+        words = " ".join("".join(c if ord(c) >= 128 or c.isalpha() else " " for c in (text or "").lower()).split()).encode()
+        data = b" " + words + b" "
+        grams = [data[i:i + 3] for i in range(len(data) - 2)] if words else []
+        slots = [((a << 16 | b << 8 | c) * 2654435761 % 2**32) >> 17 for a, b, c in grams]
+        return 0.2 * np.array([sum(float(row[s]) for s in slots) for row in model.table]) if words else None
+
+    def soft(x):
+        x = np.exp(x - x.max())
+        return x / x.sum()
+
+    data = rows.collect()
+    odds = [likelihood(r["text"]) for r in data]
+    weights = [np.zeros(n) if o is None else soft(o) for o in odds]
+    total = sum(weights) + 1.0
+    total[-1] = 1.0
+    total /= total.sum()
+    total[-1] = min(total[-1], 1e-3)
+    known = {c: i for i, c in enumerate(names[:-1])}
+
+    def said(name, sure):
+        if name not in known:
+            return 0.0
+        out = np.full(n, np.log((1 - sure) / (len(known) - 1)))
+        out[known[name]] = np.log(sure)
+        return out
+
+    def smoothed(members, above):
+        own = sum(members, np.zeros(n))
+        return (own + 20 * above) / (own.sum() + 20)
+
+    got = {r["doc_id"]: (r["language"], r["confidence"]) for r in langid.identify(rows, model, host=F.col("h"), domain=F.col("d"), declared=F.col("say"), suffix=F.col("suf")).collect()}
+    assert len(got) == len(data)
+    for r, o in zip(data, odds):
+        if o is None:
+            assert got[r["doc_id"]] == ("und", 1.0)
+            continue
+        domain = smoothed([w for x, w in zip(data, weights) if r["d"] is not None and x["d"] == r["d"] and x["h"] is not None or r["d"] is not None and x["d"] == r["d"]], total) if r["d"] is not None else total
+        prior = smoothed([w for x, w in zip(data, weights) if x["h"] == r["h"]], domain) if r["h"] is not None else total
+        after = soft(o + np.log(prior) + said(r["say"], 0.9) + said({"at": "de", "mx": "es"}.get(r["suf"]), 0.7))
+        language, sure = got[r["doc_id"]]
+        assert abs(sure - after.max()) < 1e-4 and after[names.index(language)] > after.max() - 1e-4
+
+
+def test_rare_languages_are_known(spark):
+    common = spark.range(100_000).selectExpr("concat('the word number ', id, ' and the other one of them') AS text", "'en' AS lang")
+    rare = spark.createDataFrame([("la casa de los que cantan es muy grande y el perro también", "es")] * 3 + [("la mujer que canta en la calle es mi vecina", "es")], "text string, lang string")
+    model = langid.train(common.union(rare), rows_per_language=50)
+    assert model.languages == ["en", "es", "und"]
+    again = langid.train(common.union(rare).repartition(5), rows_per_language=50)
+    assert (again.table == model.table).all()
+    docs = spark.createDataFrame([(1, "el perro de la vecina es grande y canta"), (2, "the other word and the number of them")], "doc_id long, text string")
+    assert {r["doc_id"]: r["language"] for r in langid.identify(docs, model).collect()} == {1: "es", 2: "en"}
+    with pytest.raises(ValueError):
+        langid.train(spark.range(600).selectExpr("concat('x', id) AS text", "concat('l', id) AS lang"))
+
+
+def test_long_text_across_parts(documents):
+    model = langid.train(documents)
+    text = "und die der " * 200_000
+    parts = list(langid.slots(text))
+    assert len(parts) == 3 and sum(map(len, parts)) == len(text) - 1 + 0 and model.languages[int(model.score(text).argmax())] == "de"
+
+
+def test_document_evidence(spark):
+    docs = spark.createDataFrame([(1, "<html lang=fr><p>x", "https://www.Shop.de/x"), (2, "a < b", "src1"), (3, None, None)], "doc_id long, text string, source string")
+    rows = {r["doc_id"]: r for r in docs.select("doc_id", *[c.alias(n) for n, c in langid.document_evidence(docs).items()]).collect()}
+    assert tuple(rows[1])[1:] == ("www.shop.de", "shop.de", "de", "fr") and tuple(rows[2])[1:] == ("src1", None, None, None) and tuple(rows[3])[1:] == (None,) * 4
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Language workers start where the package is not on their path."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))!r})
+from listwright.session import build_session
+from listwright.llm import langid
+spark = build_session("far", **{{"spark.master": "local[2]", "spark.ui.enabled": "false"}})
+docs = spark.createDataFrame([(1, "the man and the sea", "en"), (2, "el hombre y la mar", "es")], "doc_id long, text string, lang string")
+assert [r["language"] for r in langid.identify(docs, langid.train(docs)).orderBy("doc_id").collect()] == ["en", "es"]
+def probe(batches):
+    import importlib.util
+    for b in batches:
+        yield b.select([0]).set_column(0, "doc_id", __import__("pyarrow").array([int(importlib.util.find_spec("listwright") is None)] * len(b), "int64"))
+assert docs.mapInArrow(probe, "doc_id long").first()[0] == 1
+"""
+    script = tmp_path / "far.py"
+    script.write_text(code)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_without_labels_nothing_is_known(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert langid.train(docs).languages == ["und"]

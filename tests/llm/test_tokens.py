@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from listwright.llm import bpe, packing, token_counts
+from listwright.llm import bpe, packing, token_counts, worker
 from listwright.llm.queries import byte_bpe
 
 TEXTS = [
@@ -37,6 +37,21 @@ def ids_of(packed: bytes) -> list[int]:
     return np.frombuffer(packed, dtype="<u4").tolist()
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text() | st.text(alphabet="thersanding 'lo.0é\n", max_size=60))
+def test_the_packings_encoder_is_the_same(library, text):
+    packer = worker.kept(("test", "packing"), lambda: packing.Encoder(byte_bpe()))
+    assert ids_of(packer.encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_the_packings_encoder_checks_the_librarys_result(own):
+    """Whatever the library gives, tokens that don't fit are encoded anew."""
+    packer = packing.Encoder(byte_bpe())
+    text = "The thandering of unthinkable sentences " + "x" * 500
+    packer.merge = lambda piece: [own.rank[c] for c in piece.encode().decode("latin-1")]
+    assert packer.encode(text) == own.encode(text)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text() | st.text(alphabet="thersanding 'lo.0é\n", max_size=60))
 def test_encoding_is_the_librarys(own, library, text):
