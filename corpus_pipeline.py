@@ -23,7 +23,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
     if model.languages == [langid.NONE]:
         return docs
-    found = langid.identify(docs, model, host=F.col("source"), language="_language", confidence="_confidence")
+    found = langid.identify(docs, model, **langid.document_evidence(docs), language="_language", confidence="_confidence")
     return found.where(F.col("_language") != langid.NONE).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
