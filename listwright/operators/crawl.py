@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listwright.operators.curate import dedupe_id_or_url
+from listwright.session import cut_lineage, scratch_path
 
 
 def last_page(
@@ -51,13 +52,52 @@ def last_page(
 
 
 def crawl_pages(pages: DataFrame, crawl: str = "crawl_id", max_pages: int | None = None) -> DataFrame:
-    """Result pages the crawls take.
+    """Result pages the crawls take, without their ``html``.
 
-    The limits table has one row per crawl; AQE broadcasts it when its measured
-    size allows and splits skewed crawls otherwise.
+    The pages' links are read from the markup once: what is left of a page is
+    written to the shared folder, and both the limits and the result come from
+    there.  The limits table has one row per crawl; AQE broadcasts it when its
+    measured size allows and splits skewed crawls otherwise.
     """
-    limits = last_page(pages, crawl, max_pages)
-    return pages.join(limits, crawl).where("page_no <= last_page").drop("last_page")
+    spark = pages.sparkSession
+    path = scratch_path(spark, "crawl-pages")
+    pages.drop("html").write.parquet(path)
+    reduced = spark.read.parquet(path)
+    limits = last_page(reduced, crawl, max_pages)
+    return reduced.join(limits, crawl).where("page_no <= last_page").drop("last_page")
+
+
+PAGE_BLOCK = 1024  # pages whose counts are summed up in one group
+
+
+def rows_before(counts: DataFrame, crawl: str) -> DataFrame:
+    """(crawl, page_no, before): how many rows the earlier pages of a crawl have.
+
+    ``counts`` has (crawl, page_no, rows).  The prefix sum has two levels: over
+    blocks of pages, and over the pages of a block, so a crawl's pages are dealt
+    to many groups and only its block sums, a thousandth of them, meet in one.
+    """
+    blocked = counts.withColumn("_block", F.floor(F.col("page_no") / PAGE_BLOCK))
+    of_block = blocked.groupBy(crawl, "_block").agg(F.sum("rows").alias("_rows"))
+    blocks = of_block.select(crawl, "_block", (F.sum("_rows").over(W.partitionBy(crawl).orderBy("_block")) - F.col("_rows")).alias("_earlier"))
+    within = F.sum("rows").over(W.partitionBy(crawl, "_block").orderBy("page_no")) - F.col("rows")
+    pages = blocked.withColumn("_within", within).join(blocks, [crawl, "_block"])
+    return pages.select(crawl, "page_no", (F.col("_earlier") + F.col("_within")).alias("before"))
+
+
+def first_rows(rows: DataFrame, crawl: str, n: int) -> DataFrame:
+    """The first n rows of each crawl by (page_no, link_no), for any n.
+
+    Rows are numbered inside their page only; what a crawl's earlier pages hold
+    comes from :func:`rows_before`.  Pages beyond the n-th row are left out
+    before any row is numbered.
+    """
+    rows = cut_lineage(rows)
+    counts = rows.groupBy(crawl, "page_no").agg(F.count(F.lit(1)).alias("rows"))
+    before = rows_before(counts, crawl).where(F.col("before") < n)
+    number = F.row_number().over(W.partitionBy(crawl, "page_no").orderBy("link_no"))
+    placed = rows.join(before, [crawl, "page_no"]).withColumn("_number", F.col("before") + number)
+    return placed.where(F.col("_number") <= n).select(*rows.columns)
 
 
 def crawl_listings(
@@ -89,7 +129,5 @@ def crawl_listings(
     limits = last_page(pages, crawl, max_pages, news)
     taken = kept.join(limits, crawl).where("page_no <= last_page").drop("last_page")
     if sample_size:
-        # at most sample_size rows of a crawl leave each map task
-        rank = F.row_number().over(W.partitionBy(crawl).orderBy("page_no", "link_no"))
-        taken = taken.withColumn("_rank", rank).where(F.col("_rank") <= sample_size).drop("_rank")
+        taken = first_rows(taken, crawl, sample_size)
     return taken

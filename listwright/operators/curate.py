@@ -50,8 +50,8 @@ def first_per_key(df: DataFrame, key: str | list[str], order: str, descending: b
     return ranked.where("_rank = 1").drop("_rank")
 
 
-def dedupe_first(df: DataFrame, order: str = "seq", key: str = "listing_id") -> DataFrame:
-    """Keep the first row of each listing id."""
+def dedupe_first(df: DataFrame, order: str = "seq", key: str | list[str] = "listing_id") -> DataFrame:
+    """Keep the first row of each listing id, or of each source and id."""
     return first_per_key(df, key, order)
 
 
@@ -140,7 +140,7 @@ def _kept_on_paths(rows: DataFrame) -> DataFrame:
     return paths.where("first AND steps = 0").select("r")
 
 
-def normalise_listings(df: DataFrame, order: str = "seq") -> DataFrame:
+def normalise_listings(df: DataFrame, order: str = "seq", key: str | list[str] = "listing_id") -> DataFrame:
     """Dedupe by id and fix types: numeric price, true booleans, image array.
 
     A stored boolean criterion is true for any non-empty text, so 'false' as
@@ -161,7 +161,7 @@ def normalise_listings(df: DataFrame, order: str = "seq") -> DataFrame:
         columns["criteria"] = flags
     if "image_urls" not in df.columns:
         del columns["image_urls"]
-    return dedupe_first(df, order).withColumns(columns)
+    return dedupe_first(df, order, key).withColumns(columns)
 
 
 def min_date_posted(df: DataFrame, cutoff: str) -> DataFrame:

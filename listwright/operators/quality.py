@@ -54,16 +54,19 @@ def quality_issues(df: DataFrame, extra: list[Rule] | None = None) -> DataFrame:
     return df.select(F.inline(found))
 
 
-def quality_summary(df: DataFrame, extra: list[Rule] | None = None) -> DataFrame:
-    """One row: listings, issues of each kind, total issues and score.
+def issue_kinds(extra: list[Rule] | None = None) -> list[str]:
+    """Names of the issues the rules look for, in order."""
+    return list(dict.fromkeys(r.issue for r in standard_rules() + list(extra or [])))
 
-    All counters come from one aggregate scan; penalties are summed as whole
-    half points, so the score does not depend on summation order.
+
+def quality_counters(extra: list[Rule] | None = None) -> tuple[list[Column], list[Column]]:
+    """Aggregates, and the columns of :func:`quality_summary` over their result.
+
+    Apart, so that other totals can share the scan.
     """
     applied = standard_rules() + list(extra or [])
-    kinds = list(dict.fromkeys(r.issue for r in applied))
-    counters = [F.count_if(r.fails).alias(f"_r{i}") for i, r in enumerate(applied)]
-    sums = df.agg(F.count(F.lit(1)).alias("total_listings"), *counters)
+    kinds = issue_kinds(extra)
+    counters = [F.count(F.lit(1)).alias("total_listings"), *(F.count_if(r.fails).alias(f"_r{i}") for i, r in enumerate(applied))]
 
     def total(terms: list[Column]) -> Column:
         out = terms[0]
@@ -75,12 +78,22 @@ def quality_summary(df: DataFrame, extra: list[Rule] | None = None) -> DataFrame
     lost = total([F.col(f"_r{i}") * r.half_points for i, r in enumerate(applied)])
     worst = F.col("total_listings") * rules.HALF_POINTS_PER_LISTING
     score = F.round(F.greatest(F.lit(0.0), F.lit(100.0) - F.try_divide(lost.cast("double"), worst) * 100), 2)
-    return sums.select(
-        "total_listings",
+    return counters, [
+        F.col("total_listings"),
         *(c.alias(k) for k, c in per_kind.items()),
         total(list(per_kind.values())).alias("total_issues"),
         F.when(F.col("total_listings") > 0, score).otherwise(F.lit(0.0)).alias("quality_score"),
-    )
+    ]
+
+
+def quality_summary(df: DataFrame, extra: list[Rule] | None = None) -> DataFrame:
+    """One row: listings, issues of each kind, total issues and score.
+
+    All counters come from one aggregate scan; penalties are summed as whole
+    half points, so the score does not depend on summation order.
+    """
+    counters, shape = quality_counters(extra)
+    return df.agg(*counters).select(*shape)
 
 
 def issue_counts(df: DataFrame, extra: list[Rule] | None = None) -> DataFrame:

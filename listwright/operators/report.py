@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listwright import rules
 from listwright.functions.text import present
-from listwright.operators.quality import quality_summary
+from listwright.operators.quality import Rule, issue_kinds, quality_counters
+from listwright.session import cut_lineage, scratch_path
 
 
 def _filled(field: str) -> Column:
@@ -25,58 +28,87 @@ def completeness(df: DataFrame, fields=rules.COMPLETENESS_FIELDS) -> DataFrame:
 
 # --- exact median ----------------------------------------------------------------
 
-_STEPS_PER_OCTAVE = 4096
+_SMALLEST_NORMAL = 2.0 ** -1022
+_DIGIT = 16  # bits of a pass
 
 
-def _bucket(c: Column) -> Column:
-    """Monotone bucket of a number: steps on a logarithmic scale.
+def ordered_bits(c: Column) -> Column:
+    """The bits of a double as a BIGINT that sorts as the numbers do.
 
-    The number of buckets is bounded by the range of doubles, not by the data.
+    They are worked out from exponent and fraction: all steps are exact,
+    because powers of two are and scaling by them is.  Both zeros give 0, NaN
+    is above infinity.
     """
-    return F.floor(F.signum(c) * F.log2(F.lit(1.0) + F.abs(c)) * _STEPS_PER_OCTAVE).cast("bigint")
+    size = F.abs(c)
 
+    def bits(x: Column) -> Column:
+        guess = F.floor(F.log2(x)).cast("int")  # may miss by one next to a power of two
+        shifted = x / F.pow(F.lit(2.0), guess)
+        exponent = F.when(shifted >= 2, guess + 1).when(shifted < 1, guess - 1).otherwise(guess)
+        fraction = x / F.pow(F.lit(2.0), exponent) - 1
+        normal = (exponent + 1023).cast("long") * F.lit(1 << 52) + (fraction * F.lit(2.0 ** 52)).cast("long")
+        return F.when(x < _SMALLEST_NORMAL, (x / F.lit(2.0 ** -1074)).cast("long")).otherwise(normal)
 
-def upper_median(df: DataFrame, column: str) -> DataFrame:
-    """Exact ``sorted(values)[n // 2]``; one row (median), NULL if there are no values.
+    finite = F.when(size == 0, F.lit(0).cast("long")).when(size < float("inf"), bits(size)).otherwise(F.lit(2047 << 52))
+    return F.when(F.isnan(c), F.lit((2047 << 52) + 1)).when(c < 0, -finite).otherwise(finite)
+
+
+def number_of_bits(bits: int) -> float:
+    """The double of :func:`ordered_bits`."""
+    if bits > 2047 << 52:
+        return float("nan")
+    number = struct.unpack("<d", struct.pack("<q", abs(bits)))[0]
+    return -number if bits < 0 else number
 
-    Counting sort in two steps: counts per bucket (combined map-side, bounded)
-    locate the bucket that holds the middle rank; counts per value inside this
-    one bucket give the value.  No task ever sees the whole column.
+
+def upper_median_of(df: DataFrame, column: str) -> float | None:
+    """Exact ``sorted(values)[n // 2]``, None if there are no values.
+
+    Radix selection: the column is written once as ordered bits, then four
+    passes over that narrow table count the values by their next 16 bits among
+    those that share the bits found so far.  A pass has 65,536 counters at most,
+    combined map-side, whatever the values; nothing is ordered.
     """
+    spark = df.sparkSession
     values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
-    buckets = values.groupBy(_bucket(F.col("v")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    # at most a few hundred thousand rows, whatever the size of the data
-    running = buckets.selectExpr("b", "n", "sum(n) OVER (ORDER BY b) AS upto", "sum(n) OVER () AS total")
-    middle = running.where("upto - n <= total div 2 AND total div 2 < upto").selectExpr(
-        "b", "total div 2 - (upto - n) AS skip"
-    )
-    inside = (
-        values.withColumn("b", _bucket(F.col("v"))).join(F.broadcast(middle), "b")
-        .groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.max("skip").alias("skip"))
-    )
-    ranked = inside.selectExpr("v", "n", "skip", "sum(n) OVER (ORDER BY v) AS upto")
-    return ranked.where("upto - n <= skip AND skip < upto").agg(F.min("v").alias("median"))
+    path = scratch_path(spark, "median")
+    values.select(ordered_bits(F.col("v")).alias("bits")).write.parquet(path)
+    bits = spark.read.parquet(path)
+    rank, found = bits.count() // 2, None
+    for shift in range(64 - _DIGIT, -1, -_DIGIT):
+        within = bits if found is None else bits.where(F.shiftright("bits", shift + _DIGIT) == found)
+        counts = within.groupBy(F.shiftright("bits", shift).alias("digits")).agg(F.count(F.lit(1)).alias("n"))
+        for digits, n in sorted(tuple(r) for r in counts.collect()):
+            if rank < n:
+                found = digits
+                break
+            rank -= n
+        else:
+            return None
+    return number_of_bits(found)
 
 
-def price_stats(df: DataFrame) -> DataFrame:
-    """min, max, avg and upper median over non-zero prices, one row.
+def upper_median(df: DataFrame, column: str) -> DataFrame:
+    """:func:`upper_median_of` as a table of one row (median)."""
+    return df.sparkSession.createDataFrame([(upper_median_of(df, column),)], "median double")
+
+
+def _price_columns(amount: Column) -> dict[str, Column]:
+    """Aggregates over a column of non-zero prices.
 
     The average is over decimals, so it does not depend on row order; only
     where a price has no place in DECIMAL(28,2) it is over doubles.
     """
-    priced = df.where(_filled("price_numeric")).select("price_numeric")
-    amount = F.col("price_numeric")
     exact = amount.try_cast("decimal(28,2)")
     average = F.when(F.count(exact) == F.count(amount), F.avg(exact).cast("double")).otherwise(F.avg(amount))
-    basics = priced.agg(
-        F.min(amount).alias("min_price"),
-        F.max(amount).alias("max_price"),
-        F.round(average, 2).alias("avg_price"),
-    )
-    middle = upper_median(priced, "price_numeric").withColumnRenamed("median", "median_price")
-    # two one-row tables put together by a constant key
-    one = F.lit(1).alias("_one")
-    return basics.select("*", one).join(F.broadcast(middle.select("*", one)), "_one", "left").drop("_one")
+    return {"min_price": F.min(amount), "max_price": F.max(amount), "avg_price": F.round(average, 2)}
+
+
+def price_stats(df: DataFrame) -> DataFrame:
+    """min, max, avg and upper median over non-zero prices, one row."""
+    priced = df.where(_filled("price_numeric")).select("price_numeric")
+    basics = priced.agg(*(c.alias(name) for name, c in _price_columns(F.col("price_numeric")).items()))
+    return basics.withColumn("median_price", F.lit(upper_median_of(priced, "price_numeric")).cast("double"))
 
 
 def category_distribution(df: DataFrame) -> DataFrame:
@@ -106,33 +138,66 @@ def image_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def report_rows(df: DataFrame) -> DataFrame:
-    """The whole report as rows (section, item, metric, value)."""
-    def rows(table: DataFrame, section: str, item: Column, *metrics: str) -> DataFrame:
-        pairs = F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics))
-        return table.select(F.lit(section).alias("section"), item.cast("string").alias("item"), F.inline(pairs))
-
-    none = F.lit(None)
-    summary = quality_summary(df)
-    kinds = [c for c in summary.columns if c not in ("total_listings",)]
-    parts = [
-        rows(summary, "total", none, "total_listings"),
-        rows(summary, "validation", none, *kinds),
-        rows(completeness(df), "field_completeness", F.col("field"), "filled", "percentage"),
-        rows(price_stats(df), "price_stats", none, "min_price", "max_price", "avg_price", "median_price"),
-        rows(category_distribution(df), "category_distribution", F.col("category"), "listings"),
-        rows(top_cities(df), "top_cities", F.col("city"), "listings"),
-        rows(image_stats(df), "image_stats", none, "total_images", "listings_with_images", "avg_images_per_listing"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def report_document(rows: DataFrame, filters: dict[str, str] | None = None) -> DataFrame:
+def _totals(df: DataFrame, extra: list[Rule] | None) -> dict:
+    """Everything that is one number, from one scan: counts, issues, filled fields, prices, images."""
+    images = F.coalesce(F.col("image_count"), F.lit(0))
+    priced = F.when(_filled("price_numeric"), F.col("price_numeric"))
+    counters, shape = quality_counters(extra)
+    row = df.agg(
+        *counters, *(F.count_if(_filled(f)).alias(f"_filled_{f}") for f in rules.COMPLETENESS_FIELDS),
+        *(c.alias(name) for name, c in _price_columns(priced).items()),
+        F.sum(images).cast("bigint").alias("total_images"), F.count_if(images > 0).alias("listings_with_images"))
+    filled = [F.struct(F.col(f"_filled_{f}").alias("filled"), F.round(F.try_divide(F.col(f"_filled_{f}"), "total_listings") * 100, 2).alias("percentage")).alias(f"_filled_{f}")
+              for f in rules.COMPLETENESS_FIELDS]
+    mean = F.coalesce(F.round(F.try_divide("total_images", "total_listings"), 2), F.lit(0.0)).alias("avg_images_per_listing")
+    shaped = row.select(*shape, *filled, "min_price", "max_price", "avg_price", F.coalesce("total_images", F.lit(0)).alias("total_images"), "listings_with_images", mean)
+    return shaped.first().asDict(recursive=True)
+
+
+def group_counts(df: DataFrame, order: str = "seq") -> DataFrame:
+    """(section, item, listings, first_seen) of categories and cities, from one scan.
+
+    Grouping sets count both in one shuffle, combined map-side.
+    """
+    grouped = df.groupingSets([["category"], ["city"]], "category", "city").agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("listings"), F.min(order).alias("first_seen"))
+    by_category = F.col("_set") == 1  # the city is left out
+    return grouped.select(
+        F.when(by_category, F.lit("category_distribution")).otherwise(F.lit("top_cities")).alias("section"),
+        F.when(by_category, F.col("category")).otherwise(F.col("city")).cast("string").alias("item"), "listings", "first_seen")
+
+
+def report_rows(df: DataFrame, extra: list[Rule] | None = None, order: str = "seq") -> DataFrame:
+    """The whole report as rows (section, item, metric, value).
+
+    The input is read three times: for all totals, for the groups, and for the
+    prices whose median is then found on a copy of eight bytes a price.
+    """
+    spark = df.sparkSession
+    totals = _totals(df, extra)
+    totals["median_price"] = upper_median_of(df.where(_filled("price_numeric")), "price_numeric")
+    sections = {
+        "total": ("total_listings",),
+        "validation": (*issue_kinds(extra), "total_issues", "quality_score"),
+        "price_stats": ("min_price", "max_price", "avg_price", "median_price"),
+        "image_stats": ("total_images", "listings_with_images", "avg_images_per_listing"),
+    }
+    fixed = [(section, None, metric, totals[metric]) for section, metrics in sections.items() for metric in metrics]
+    fixed += [("field_completeness", f, metric, totals[f"_filled_{f}"][metric]) for f in rules.COMPLETENESS_FIELDS for metric in ("filled", "percentage")]
+    numbers = [(section, item, metric, None if value is None else float(value)) for section, item, metric, value in fixed]
+    groups = cut_lineage(group_counts(df, order))
+    categories = groups.where("section = 'category_distribution'")
+    cities = groups.where("section = 'top_cities' AND item <> ''").orderBy(F.desc("listings"), "first_seen").limit(rules.TOP_CITIES)
+    counted = categories.unionByName(cities).select("section", "item", F.lit("listings").alias("metric"), F.col("listings").cast("double").alias("value"))
+    return spark.createDataFrame(numbers, "section string, item string, metric string, value double").unionByName(counted)
+
+
+def report_document(rows: DataFrame, filters: dict[str, str] | None = None, extra: list[Rule] | None = None) -> DataFrame:
     """The report rows as one nested row (schema B4 of the design notes).
 
+    ``extra`` are the rules that the rows were made with; their counts stand
+    beside the standard ones.
+
     The rows are counts that were aggregated before; their number is that of
     the distinct categories plus a constant.  An empty table gives a row with
     only ``error`` set.
@@ -150,7 +215,7 @@ def report_document(rows: DataFrame, filters: dict[str, str] | None = None) -> D
         return F.struct(*(metric(section, m, k).alias(m) for m, k in kinds.items()))
 
     total = metric("total", "total_listings", "bigint")
-    kinds = dict.fromkeys(("missing_required_fields", "invalid_prices", "missing_images", "incomplete_location", "total_issues"), "bigint")
+    kinds = dict.fromkeys((*issue_kinds(extra), "total_issues"), "bigint")
     filled = rows.withColumn("_field_metric", F.concat_ws(".", "item", "metric"))
     built = filled.agg(
         total.alias("total_listings"),

@@ -70,8 +70,8 @@ def run(
     listings = spark.read.parquet(f"{out}/curated")
     if listings.isEmpty():
         return None
-    rows = report_rows(listings)
-    document = report_document(rows, {"min_date_posted": min_date} if min_date else None)
+    rows = report_rows(listings, extra_rules)
+    document = report_document(rows, {"min_date_posted": min_date} if min_date else None, extra_rules)
     if not dry_run:
         if export_format in ("csv", "both"):
             write_csv(listings, f"{out}/{site.file_prefix}_listings_csv")

@@ -1,6 +1,7 @@
 """Table operators against brute force on small fixtures."""
 
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,52 @@ def test_upper_median(spark, n):
     assert report.upper_median(df, "v").first()["median"] == (values[n // 2] if n else None)
 
 
+AWKWARD = [0.0, -0.0, 5e-324, -5e-324, 2.0 ** -1022, 2.0 ** -1022 - 5e-324, 1.0, 1 - 2**-53, 1 + 2**-52, 1.7976931348623157e308, 1e15, 250000.01, 2.0, 8.0, 4 - 2**-51, 0.1, float("inf")]
+
+
+def test_ordered_bits_are_the_doubles_own(spark):
+    rnd = random.Random(0)
+    values = [s * v for v in AWKWARD for s in (1, -1)] + [rnd.choice([1, -1]) * rnd.random() * 2.0 ** rnd.randint(-1070, 1020) for _ in range(3000)] + [2.0**e for e in range(-1074, 1024)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", report.ordered_bits(F.col("v")).alias("b")).collect()
+    for r in got:
+        own = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.b == (-own if r.v < 0 else own) and report.number_of_bits(r.b) == r.v
+    nan = spark.createDataFrame([(float("nan"),), (float("inf"),)], "v double").agg(F.max(report.ordered_bits(F.col("v")))).first()[0]
+    assert nan > 2047 << 52 and report.number_of_bits(nan) != report.number_of_bits(nan)
+
+
+@pytest.mark.parametrize("values", [[7.5] * 900, [250000 + i / 10_000 for i in range(100_001)], [1e15] * 3 + [1e15 + 1], [-3.0, -1.0, -2.0], [float("nan"), 1.0, 2.0]])
+def test_median_of_close_equal_and_large_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "price_numeric double").repartition(6)
+    want = sorted(values, key=lambda v: (v != v, v))[len(values) // 2]
+    assert report.upper_median(df, "price_numeric").first()["median"] == want
+    stats = report.price_stats(df)
+    assert stats.first()["median_price"] == want
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortExec" not in plan
+
+
+def test_report_reads_its_input_three_times(spark, tmp_path):
+    rows = [(n, str(n), "T", float(n % 7), "5", f"c{n % 13}", "g", n % 3, "u", f"k{n % 4}") for n in range(200)]
+    df = listing_frame(spark, [r[:9] for r in rows]).withColumns({"category": F.concat(F.lit("k"), (F.col("seq") % 4).cast("string")), "location_raw": F.lit("x"), "description": F.lit(""), "date_posted": F.lit(None).cast("string")})
+    df.write.parquet(str(tmp_path / "in"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.read.parquet(str(tmp_path / "in"))
+    watched = source.mapInArrow(counted, source.schema)
+    extra = [quality.Rule("no_city_c3", F.col("city") == "c3", 1)]
+    rows = report.report_rows(watched, extra)
+    doc = report.report_document(rows, None, extra).first()
+    assert seen.value == 3 * 200
+    assert doc.validation.no_city_c3 == 16 and doc.category_distribution == {f"k{i}": 50 for i in range(4)} and len(doc.top_cities) == 10
+    assert doc.price_stats.median_price == 3.0 and doc.image_stats.total_images == sum(n % 3 for n in range(200))
+
+
 def listing_frame(spark, rows):
     columns = "seq long, listing_id string, title string, price_numeric double, price_raw string, city string, governorate string, image_count int, listing_url string"
     return spark.createDataFrame(rows, columns)
@@ -174,11 +221,82 @@ def test_store_versions_switch_and_flavours(spark):
     with pytest.raises(Exception, match="NOT NULL"):
         keep.upsert(df.withColumn("title", F.lit(None).cast("string")), stamp)
     assert keep.table().count() == 3
-    plan = store.merge_narrow(keep.table(), store.store_prepare(df), stamp)._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan
     assert keep.table().columns == schemas.STORED.fieldNames()
 
 
+def stored_rows(spark, ids, title="T", source=None):
+    df = spark.createDataFrame([(i, k, title, f"d{i}", float(i)) for i, k in enumerate(ids)], "seq long, listing_id string, title string, description string, price_numeric double")
+    df = df.withColumns({"listing_url": F.lit("u"), "scraped_at": F.lit("2024-01-01").cast("timestamp")})
+    return df.withColumn("source", F.lit(source)) if source else df
+
+
+def test_a_merge_leaves_other_partitions_alone(spark, tmp_path):
+    keep = ListingStore(spark, str(tmp_path / "s"), partitions=128)
+    stamp = F.lit("2024-02-02").cast("timestamp")
+    keep.upsert(stored_rows(spark, [f"k{i}" for i in range(600)]), stamp)
+    before = keep._manifest()
+    keep.upsert(stored_rows(spark, [f"k{i}" for i in range(0, 600, 100)], "T2"), stamp, "full")
+    after = keep._manifest()
+    folders = [{(s, p): f for s, p, f in m.parts} for m in (before, after)]
+    changed = {k for k in folders[1] if folders[0].get(k) != folders[1][k]}
+    assert 0 < len(changed) <= 6 and set(folders[0]) == set(folders[1])
+    assert keep.table().where("title = 'T2'").count() == 6 and keep.table().count() == 600
+    files = {f.rsplit("/", 2)[1] for f in keep.lookup("k100").inputFiles()}
+    assert len(files) == 1 and keep.lookup("k100").first().title == "T2" and keep.lookup("none").count() == 0
+    assert keep.table(version=before.version).where("title = 'T2'").count() == 0
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    one, two = (ListingStore(spark, str(tmp_path / "s"), partitions=4) for _ in range(2))
+    stamp = F.lit("2024-02-02").cast("timestamp")
+    one.upsert(stored_rows(spark, ["a", "b"]), stamp)
+    base = two._manifest()
+    one.upsert(stored_rows(spark, ["c"]), stamp)
+    with pytest.raises(store.ConcurrentWrite):
+        two._commit(base, base and two.table(), [None], None, None)
+    assert two.table().count() == 3 and len(two.versions()) == 3
+    gone = two.vacuum(keep=1)
+    assert len(gone) >= 1 and len(two.versions()) == 1 and two.table().count() == 3 and two.vacuum(keep=1) == []
+
+
+def test_keys_scoped_by_source(spark, tmp_path):
+    keep = ListingStore(spark, str(tmp_path / "s"), partitions=4, scope="source")
+    stamp = F.lit("2024-02-02").cast("timestamp")
+    both = stored_rows(spark, ["a", "b", "a"], source="x").unionByName(stored_rows(spark, ["a", "c"], source="y"))
+    keep.upsert(both, stamp)
+    keep.upsert(stored_rows(spark, ["a", "d"], "T2", source="y"), stamp, "full")
+    assert {(r.source, r.listing_id, r.title) for r in keep.table().collect()} == {("x", "a", "T"), ("x", "b", "T"), ("y", "a", "T2"), ("y", "c", "T"), ("y", "d", "T2")}
+    assert {f.split("/_s=")[1][0] for f in keep.table("y").inputFiles()} == {"1"} and keep.table("y").count() == 3 and keep.table("z").count() == 0
+    assert keep.lookup("a", "x").first().title == "T" and keep.lookup("a").count() == 2
+    assert curate.dedupe_first(both, key=["source", "listing_id"]).count() == 4
+
+
+def test_first_rows_of_crawls(spark):
+    rnd = random.Random(4)
+    rows = [(c, p, i) for c, pages in ((1, 3000), (2, 5), (3, 2500)) for p in range(1, pages + 1) for i in range(rnd.choice([0, 1, 4, 9]))]
+    df = spark.createDataFrame(rows, "crawl_id long, page_no int, link_no int").repartition(7)
+    for n in (1, 20, 4999):
+        got = sorted(tuple(r) for r in crawl.first_rows(df, "crawl_id", n).collect())
+        assert got == [r for c in (1, 2, 3) for r in sorted(x for x in rows if x[0] == c)[:n]]
+    plan = crawl.first_rows(df, "crawl_id", 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("page_no" in line.split("windowspecdefinition")[-1] or "_block" in line for line in plan.splitlines() if "windowspecdefinition" in line)
+
+
+def test_crawl_pages_parses_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    pages = spark.createDataFrame([(c, p, "<p>", ["u"], p < 4) for c in range(5) for p in range(1, 6)], "crawl_id long, page_no int, html string, links array<string>, has_next boolean")
+    pages.write.parquet(str(tmp_path / "p"))
+    source = spark.read.parquet(str(tmp_path / "p"))
+    taken = crawl.crawl_pages(source.mapInArrow(counted, source.schema))
+    assert taken.count() == 20 and seen.value == 25 and "html" not in taken.columns
+
+
 def sequential_crawl(pages, max_pages, stop_without_news):
     taken, seen, n = [], set(), 1
     while n in pages and not (max_pages and n > max_pages):
