@@ -105,9 +105,9 @@ def quality_score(df: DataFrame, extra: list[Rule] | None = None) -> DataFrame:
     return quality_summary(df, extra).select("total_listings", "quality_score")
 
 
-def assert_quality(df: DataFrame, threshold: float = rules.QUALITY_THRESHOLD) -> float:
+def assert_quality(df: DataFrame, threshold: float = rules.QUALITY_THRESHOLD, extra: list[Rule] | None = None) -> float:
     """Score of the listings; raises when it is below the threshold."""
-    score = quality_score(df).first()["quality_score"]
+    score = quality_score(df, extra).first()["quality_score"]
     if score < threshold:
         raise ValueError(f"Data quality score ({score}) below threshold ({threshold:g})")
     return score

@@ -187,9 +187,9 @@ def insert_new(target: DataFrame, batch: DataFrame, as_of: Column, order: str =
     return target.unionByName(stamped.drop(order).select(*target.columns))
 
 
-def new_table(prepared: DataFrame, as_of: Column, order: str = "seq") -> DataFrame:
+def new_table(prepared: DataFrame, as_of: Column, order: str = "seq", key: str | list[str] = KEY) -> DataFrame:
     """First version of a store: the prepared rows, one per key, stamped."""
-    return first_per_key(prepared, KEY, order).drop(order).withColumns({name: as_of for name in STAMPS})
+    return first_per_key(prepared, key, order).drop(order).withColumns({name: as_of for name in STAMPS})
 
 
 def merge_into(batch: DataFrame, table: str, update: tuple[str, ...] | None, as_of: Column, order: str = "seq") -> None:
@@ -271,8 +271,8 @@ class ListingStore:
     from the same version the second one fails with :class:`ConcurrentWrite`
     and changes nothing.  Old versions stay readable until :meth:`vacuum`.
 
-    ``name`` is a path, or a name below the warehouse folder; a view of the
-    last part of the name follows the newest version in this session.
+    ``name`` is a path, or a plain name: then the table is below the warehouse
+    folder and a view of that name shows what this session committed last.
     """
 
     spark: SparkSession
@@ -355,9 +355,14 @@ class ListingStore:
         runs = {**base.runs, run[0]: run[1]} if run else base.runs
         made = _Manifest(base.version + 1, base.partitions, scopes, sorted([*kept, *([s, p, folder] for s, p in written)]), runs)
         self._put(f"{self.path}/_manifests/{made.version:012d}.json", json.dumps(made.__dict__))
-        self.table().createOrReplaceTempView(self.path.rsplit("/", 1)[1].removesuffix(".store"))
+        if "/" not in self.name:
+            self.table().createOrReplaceTempView(self.name)
         return made.version
 
+    def runs(self) -> dict[str, dict]:
+        """What the committed runs reported, by their ids."""
+        return self._manifest().runs
+
     def exists(self) -> bool:
         return bool(self.versions())
 
@@ -399,11 +404,13 @@ class ListingStore:
         """Prepare, check and merge listings: narrow, full, scheduled or insert; returns the version.
 
         ``run`` is an id with what the run reports.  It is committed with the
-        rows, and a run that was committed before changes nothing.
+        rows, and a run that was committed before changes nothing.  A report
+        may have an ``epoch``: then the id stands for a stream, and only later
+        epochs than the recorded one change something.
         """
         merges = {"narrow": merge_narrow, "full": merge_full, "scheduled": merge_scheduled, "insert": insert_new}
         base = self.create()._manifest()
-        if run and run[0] in base.runs:
+        if run and run[0] in base.runs and base.runs[run[0]].get("epoch", 0) >= run[1].get("epoch", 0):
             return base.version
         prepared = store_prepare(listings, self.scope)
         checked = split_valid(prepared)[0] if flavour == "scheduled" else assert_valid(prepared)

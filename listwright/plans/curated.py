@@ -7,11 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
-from listwright.operators.curate import min_date_posted, normalise_listings
+from listwright import rules
+from listwright.operators.curate import min_date_posted, normalise_listings, observed, required_filter
 from listwright.operators.export import write_csv, write_json_lines, write_report
-from listwright.operators.quality import Rule, quality_issues, quality_summary
+from listwright.operators.quality import Rule, assert_quality, quality_issues, quality_summary
 from listwright.operators.report import report_document, report_rows
+from listwright.operators.store import ListingStore
 from listwright.plans import classifieds, portal, refline
+from listwright.session import scratch_path
 from listwright.settings import SITES, Site
 
 Extractor = Callable[..., DataFrame]
@@ -38,6 +41,71 @@ def curate(
     return min_date_posted(curated, min_date) if min_date else curated
 
 
+def counted_curation(
+    listings: DataFrame, min_date: str | None = None, key: str | list[str] = "listing_id"
+) -> tuple[DataFrame, Callable[[], list[tuple[str, int, int]]]]:
+    """Required fields, dedupe and types, date cut-off; and a function that gives (step, rows, removed).
+
+    The counts are taken while the rows pass, by the first action on the
+    table, which has to come before the function is called.
+    """
+    steps = [("read", listings), ("required", None), ("distinct", None)] + [("recent", None)] * bool(min_date)
+    apply = {"required": required_filter, "distinct": lambda df: normalise_listings(df, key=key), "recent": lambda df: min_date_posted(df, min_date)}
+    watches, table = [], listings
+    for name, _ in steps:
+        table, watch = observed(apply[name](table) if name in apply else table)
+        watches.append((name, watch))
+
+    def counts() -> list[tuple[str, int, int]]:
+        rows = [(name, watch.get["rows"]) for name, watch in watches]
+        return [(name, n, (rows[i - 1][1] if i else n) - n) for i, (name, n) in enumerate(rows)]
+
+    return table, counts
+
+
+def write_counted(listings: DataFrame, path: str, min_date: str | None = None, key: str | list[str] = "listing_id") -> list[tuple[str, int, int]]:
+    """Write the curated listings; gives (step, rows, removed)."""
+    table, counts = counted_curation(listings, min_date, key)
+    table.write.parquet(path)
+    return counts()
+
+
+@dataclass
+class ScheduledRun:
+    run_id: str
+    score: float
+    steps: list[tuple[str, int, int]]  # step, rows, removed
+    version: int
+    repeated: bool  # the run had been committed before
+
+
+def scheduled_run(
+    listings: DataFrame, store: ListingStore, run_id: str, as_of: Column, threshold: float = rules.QUALITY_THRESHOLD,
+    min_date: str | None = None, extra_rules: list[Rule] | None = None,
+) -> ScheduledRun:
+    """Curate, validate, gate and merge into the store in one call that may be repeated.
+
+    The score of the curated listings must reach ``threshold``, else nothing is
+    merged and an error is raised.  The run's id, score and counts are
+    committed together with its rows; a run that is there already is not done
+    again and its recorded result is returned.
+    """
+    def result(repeated: bool) -> ScheduledRun:
+        done = store.runs()[run_id]
+        return ScheduledRun(run_id, done["score"], [tuple(step) for step in done["steps"]], done["version"], repeated)
+
+    if run_id in store.runs():
+        return result(True)
+    spark = listings.sparkSession
+    path = scratch_path(spark, "scheduled")
+    steps = write_counted(listings, path, min_date, store.keys)
+    curated = spark.read.parquet(path)
+    score = assert_quality(curated, threshold, extra_rules)
+    version = (store.create().versions())[-1] + 1
+    store.upsert(curated, as_of, "scheduled", run=(run_id, {"score": score, "steps": steps, "version": version}))
+    return result(False)
+
+
 @dataclass
 class RunResult:
     listings: DataFrame

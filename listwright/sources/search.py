@@ -89,3 +89,46 @@ def page_urls(searches: DataFrame, pages: Column, profile: str) -> DataFrame:
     """One row per search and result page 1..pages."""
     numbered = searches.withColumn("page_no", F.explode(F.sequence(F.lit(1), pages.cast("int"))))
     return numbered.withColumn("page_url", page_url(F.col("start_url"), F.col("page_no"), profile))
+
+
+# --- pages to searches --------------------------------------------------------------
+
+SALT = 16  # groups that the pages of one prefix are dealt to
+
+
+def search_path(url: Column) -> Column:
+    """A URL without page number, query, fragment and closing slash; scheme and host in small letters."""
+    plain = F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"(:p:[0-9]+)?/*$", "")
+    host = F.regexp_extract(plain, r"^[^/]*//[^/]*", 0)
+    return F.concat(F.lower(host), F.substr(plain, F.length(host) + 1))
+
+
+def _prefixes(path: Column) -> Column:
+    """(depth, prefix) of a path: all of it, and what is left without its last parts."""
+    parts = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("prefix")))
+
+
+def with_search(pages: DataFrame, searches: DataFrame, key: str, url: str = "url", order: str = "search_id", columns: tuple[str, ...] = ("category", "transaction_type")) -> DataFrame:
+    """(key, search columns) of each page: those of the search it was found by.
+
+    That is the search whose start URL has the most path parts in common with
+    the page's URL, all of its own among them; of searches with the same start
+    URL the first by ``order``, then by the columns.  Pages of no search get NULL.  ``key`` names a
+    page.
+
+    Both sides are joined on the hash of a prefix: a search has one, a page as
+    many as its URL has parts.  A search that most pages belong to is met in
+    ``SALT`` groups, each with a copy of the search and a share of the pages.
+    """
+    wanted = [order, *columns]
+    starts = searches.select(search_path(F.col("start_url")).alias("start"), F.struct(*wanted).alias("search")).groupBy("start").agg(F.min("search").alias("search"))
+    starts = starts.select("start", "search", F.xxhash64("start").alias("h"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    own = pages.select(F.col(key).alias("_key"), search_path(F.col(url)).alias("_path"))
+    emitted = own.select("_key", F.inline(F.coalesce(_prefixes(F.col("_path")), F.array()))).select(
+        "_key", "depth", "prefix", F.xxhash64("prefix").alias("h2"), F.pmod(F.xxhash64("_key"), F.lit(SALT)).cast("int").alias("salt2"))
+    met = emitted.join(starts, (F.col("h2") == F.col("h")) & (F.col("salt2") == F.col("salt")) & (F.col("prefix") == F.col("start")), "left")
+    deepest = met.groupBy("_key").agg(F.max_by("search", F.when(F.col("search").isNotNull(), F.col("depth"))).alias("search"))
+    found = deepest.select(F.col("_key").alias(key), *(F.col("search")[c].alias(c) for c in wanted))
+    # a page without a URL has no prefix
+    return found.unionByName(pages.where(search_path(F.col(url)).isNull()).select(key, *(F.lit(None).cast(searches.schema[c].dataType).alias(c) for c in wanted)))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from listwright.operators.store import ListingStore
-from listwright.session import scratch_path
 
 
 def read_stream(
@@ -33,14 +34,52 @@ def stream_extract(
     )
 
 
-def dedupe_stream(listings: DataFrame, event_time: str, delay: str, key: str = "listing_id") -> DataFrame:
-    """One row per listing id within the watermark delay.
+_STAMPS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
-    Unlike the batch operator, the state is bounded: an id seen again later
-    than ``delay`` counts as new, and the first row to *arrive* is kept.
+
+def dedupe_stream(listings: DataFrame, event_time: str, delay: str, key: str = "listing_id", order: str = "seq") -> DataFrame:
+    """The first row by ``order`` of each listing id, whole, among those that arrive within a delay.
+
+    A row of a new id opens a window that lasts for the delay from the row's
+    event time.  The row with the least ``order`` in it is given out when the
+    watermark has passed the window or a row beyond it arrives; then the id is
+    forgotten, so the state is bounded by the ids of one delay.  An id seen
+    again later counts as new.  Rows without an id are left out, those without
+    an event time belong to the open window.  Which row stays does not depend on the
+    order of arrival within the window.
     """
-    timed = listings.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    plain = listings.select(
+        F.col(key).cast("string").alias("id"), F.col(order).cast("long").alias("place"), F.col(event_time).cast("timestamp").alias("at"),
+        F.to_json(F.struct(*listings.columns), {**_STAMPS, "ignoreNullFields": "false"}).alias("row"))
+    timed = plain.where("id IS NOT NULL").withWatermark("at", delay)
+    wait = int(listings.sparkSession.range(1).select(F.expr(f"unix_millis(TIMESTAMP'1970-01-01 00:00:00Z' + INTERVAL {delay})")).first()[0])
+
+    def keep(own: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            best = state.get
+            state.remove()
+            yield pd.DataFrame({"row": [best[1]]})
+            return
+        best, closes, closed = None, 0, []
+        if state.exists:
+            place, row, closes = state.get
+            best = (place, row)
+        for frame in frames:
+            for place, at, row in zip(frame["place"].tolist(), frame["at"], frame["row"]):
+                when = None if pd.isna(at) else int(at.timestamp() * 1000)
+                if best is not None and when is not None and when > closes:
+                    closed.append(best[1])
+                    best = None
+                if best is None:
+                    best, closes = (place, row), (state.getCurrentWatermarkMs() if when is None else when) + wait
+                elif (place, row) < best:
+                    best = (place, row)
+        state.update((*best, closes))
+        state.setTimeoutTimestamp(max(closes, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"row": closed})
+
+    kept = timed.groupBy("id").applyInPandasWithState(keep, "row string", "place long, row string, closes long", "append", GroupStateTimeout.EventTimeTimeout)
+    return kept.select(F.from_json("row", listings.schema, _STAMPS).alias("r")).select("r.*")
 
 
 def run_to_table(df: DataFrame, out: str, checkpoint: str) -> DataFrame:
@@ -54,14 +93,16 @@ def run_to_table(df: DataFrame, out: str, checkpoint: str) -> DataFrame:
 
 
 def stream_merge(
-    listings: DataFrame, store: ListingStore, as_of: Column, checkpoint: str, flavour: str = "narrow"
+    listings: DataFrame, store: ListingStore, as_of: Column, checkpoint: str, flavour: str = "narrow", name: str = "stream"
 ) -> StreamingQuery:
     """Upsert every micro-batch into the store.
 
-    A batch replayed after a failure changes nothing but ``updated_at``.
+    The number of the batch is committed with its rows under ``name``, so a
+    batch that is played again after a failure, or after a restart from the
+    checkpoint, changes nothing.
     """
-    def apply(batch: DataFrame, _epoch: int) -> None:
-        store.upsert(batch, as_of, flavour)
+    def apply(batch: DataFrame, epoch: int) -> None:
+        store.upsert(batch, as_of, flavour, run=(name, {"epoch": epoch + 1}))
 
     return (
         listings.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -69,28 +110,18 @@ def stream_merge(
     )
 
 
-def fold_stream(
-    stream: DataFrame, start: DataFrame, step: Callable[[DataFrame, DataFrame], DataFrame], purpose: str
-) -> DataFrame:
-    """Fold micro-batches into a Parquet table: table = step(table, batch).
+class StepCounts(StreamingQueryListener):
+    """Adds up what ``observe`` counts in the batches of streaming queries: name -> rows."""
 
-    Each batch writes a new version below the shared folder; the last one is
-    returned.
-    """
-    spark = stream.sparkSession
-    base = scratch_path(spark, purpose)
-    start.write.parquet(f"{base}/v0")
-    last = {"epoch": 0}
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
 
-    def apply(batch: DataFrame, epoch: int) -> None:
-        # version n + 1 comes from version n, so a replayed batch gives the same table
-        table = batch.sparkSession.read.schema(start.schema).parquet(f"{base}/v{epoch}")
-        step(table, batch).write.mode("overwrite").parquet(f"{base}/v{epoch + 1}")
-        last["epoch"] = epoch + 1
+    def onQueryStarted(self, event) -> None:
+        pass
 
-    query = (
-        stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(start.schema).parquet(f"{base}/v{last['epoch']}")
+    def onQueryProgress(self, event) -> None:
+        for name, metrics in event.progress.observedMetrics.items():
+            self.rows[name] = self.rows.get(name, 0) + (metrics["rows"] or 0)
+
+    def onQueryTerminated(self, event) -> None:
+        pass

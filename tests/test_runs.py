@@ -2,14 +2,20 @@
 
 import json
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from listwright.operators.export import flatten, write_csv
+from listwright.operators.export import criteria_keys, flatten, write_csv
+from listwright.operators.quality import Rule
+from listwright.operators.store import ListingStore
 from listwright.plans import curated
 from listwright.settings import Site
 from listwright.sources.exports import read_json_envelope
 from listwright.sources.pages import read_snapshots
+from listwright.sources.search import with_search
+from listwright.streaming import intake
 
 HTML = """<h1>Villa {n}</h1><span class="price">{n}000 TND</span><dl><dt>Etage</dt><dd>{n}</dd><dt>Meuble</dt><dd>Oui</dd></dl>
 <time datetime="2024-0{n}-01">x</time><img src="/i.jpg">"""
@@ -78,3 +84,81 @@ def test_custom_profile(spark):
     site = Site("mine", "mine.example", "https://mine.example", "https://mine.example/s", "Mine")
     curated.register_profile("mine", extract, site)
     assert curated.curate(pages(spark), "mine").select("source").first()[0] == "mine.example"
+
+
+def test_scheduled_run_is_gated_and_repeatable(spark, tmp_path):
+    stamp = F.lit("2024-06-01 10:00:00").cast("timestamp")
+    rows = curated.curate(pages(spark), "classifieds").withColumn("scraped_at", stamp)
+    keep = ListingStore(spark, str(tmp_path / "s"), partitions=4)
+    with pytest.raises(ValueError):
+        curated.scheduled_run(rows, keep, "day-1", stamp, threshold=100.5)
+    assert not keep.exists() or keep.table().count() == 0
+    doubled = rows.unionByName(rows.withColumn("seq", F.col("seq") + 100)).unionByName(rows.limit(1).withColumn("title", F.lit("")))
+    done = curated.scheduled_run(doubled, keep, "day-1", stamp, min_date="2024-02-01", extra_rules=[Rule("high", F.col("price_numeric") > 3500, 1)])
+    assert done.steps == [("read", 9, 0), ("required", 8, 1), ("distinct", 4, 4), ("recent", 3, 1)] and not done.repeated and keep.table().count() == 3
+    before = keep.versions()
+    again = curated.scheduled_run(doubled, keep, "day-1", stamp, min_date="2024-02-01")
+    assert again.repeated and again.steps == done.steps and again.score == done.score and keep.versions() == before
+    assert curated.scheduled_run(rows, keep, "day-2", stamp).version == before[-1] + 1 and set(keep.runs()) == {"day-1", "day-2"}
+
+
+def test_extra_rules_reach_the_written_report(spark, tmp_path):
+    out = str(tmp_path / "run")
+    curated.run(pages(spark), "classifieds", out, F.lit("2024-06-01").cast("timestamp"), extra_rules=[Rule("cheap", F.col("price_numeric") < 2500, 2)])
+    report = spark.read.json(f"{out}/summary_report_classifieds").first()
+    assert report.validation.cheap == 2 and report.validation.total_issues >= 1
+
+
+def test_flatten_with_open_keys(spark):
+    rows = spark.range(300).selectExpr("id AS seq", "CAST(id AS STRING) AS listing_id", "map(concat('k', id), 'v', 'common', 'c', 'b', CAST(NULL AS STRING)) AS criteria")
+    flat = flatten(rows, max_columns=2)
+    assert flat.columns == ["listing_id", "criteria_b", "criteria_common", "criteria_rest"]
+    assert {json.loads(r.criteria_rest)[f"k{r.listing_id}"] for r in flat.collect()} == {"v"}
+    assert "criteria_rest" not in flatten(rows.limit(3)).columns and criteria_keys(rows).count() == 302
+    assert flatten(rows, ["common"], rest=True).where("criteria_rest IS NULL").count() == 0
+
+
+def test_streams_restart_and_count(spark, tmp_path):
+    """A merge stream killed between two arrivals goes on; played again it changes nothing; observed rows add up."""
+    def arrive(n, ids):
+        rows = [(n * 10 + i, k, "T", f"d{n}", 1.0, "u") for i, k in enumerate(ids)]
+        df = spark.createDataFrame(rows, "seq long, listing_id string, title string, description string, price_numeric double, listing_url string")
+        df.withColumn("scraped_at", F.lit("2024-01-01").cast("timestamp")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    stamp = F.lit("2024-02-02").cast("timestamp")
+    keep = ListingStore(spark, str(tmp_path / "s"), partitions=4)
+    counts = intake.StepCounts()
+    spark.streams.addListener(counts)
+    for n, ids in enumerate((["a", "b"], ["b", "c"], ["a"])):
+        arrive(n, ids)
+        stream = intake.read_stream(spark, str(tmp_path / "in")).observe("arrived", F.count(F.lit(1)).alias("rows"))
+        intake.stream_merge(stream, keep, stamp, str(tmp_path / "checkpoint")).awaitTermination()
+    versions = keep.versions()
+    assert {(r.listing_id, r.description) for r in keep.table().collect()} == {("a", "d2"), ("b", "d1"), ("c", "d1")}
+    assert keep.runs() == {"stream": {"epoch": 3}}
+    keep.upsert(spark.read.parquet(str(tmp_path / "in")).withColumn("description", F.lit("again")), stamp, run=("stream", {"epoch": 3}))
+    assert keep.versions() == versions
+    deadline = time.time() + 20
+    while counts.rows.get("arrived", 0) < 5 and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(counts)
+    assert counts.rows["arrived"] == 5
+
+
+def test_stream_dedupe_keeps_the_least_row_and_forgets(spark, tmp_path):
+    batches = [[(5, "a", "2024-01-01"), (9, "b", "2024-01-02")], [(2, "a", "2024-01-03"), (7, "b", None)], [(1, "a", "2024-03-01")], [(0, "z", "2025-01-01")]]
+    for rows in batches:
+        df = spark.createDataFrame(rows, "seq long, listing_id string, t string").selectExpr("seq", "listing_id", "to_timestamp(t) AS at", "map('k', t) AS extra")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = intake.read_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    rows = intake.run_to_table(intake.dedupe_stream(stream, "at", "10 days"), str(tmp_path / "out"), str(tmp_path / "checkpoint")).collect()
+    found = sorted((r.listing_id, r.seq, str(r["at"])[:10], r.extra["k"]) for r in rows)
+    assert found[0] == ("a", 1, "2024-03-01", "2024-03-01") and found[1] == ("a", 2, "2024-01-03", "2024-01-03") and [f[:2] for f in found[2:]] in ([("b", 7)], [("b", 9)])
+
+
+def test_pages_of_searches(spark):
+    searches = spark.createDataFrame([(1, "https://P.example/fr/sc/villas", "villa", "sale"), (2, "https://p.example/fr/sc/villas/nord", "villa", "rent"), (3, "https://p.example/fr/sc/villas:p:4", "x", "y")],
+                                     "search_id long, start_url string, category string, transaction_type string")
+    urls = ["https://p.example/fr/sc/villas:p:2", "https://p.example/fr/sc/villas/nord/12?x#y", "https://p.example/fr/sc/villas/sud/", "https://p.example/fr/sc/villas-2", None, "", "https://p.example/fr/sc/villas/nord"]
+    found = {r.k: r.search_id for r in with_search(spark.createDataFrame(list(enumerate(urls)), "k long, url string"), searches, "k").collect()}
+    assert found == {0: 1, 1: 2, 2: 1, 3: None, 4: None, 5: None, 6: 2}

@@ -156,7 +156,7 @@ _EVENTS = f"""SELECT event_id AS seq, CASE WHEN event_type = 'error' THEN concat
 _COLUMNS = ("title", "description", "category", "price_numeric", "currency", "listing_url", "scraped_at", "criteria_k")
 
 
-def _merged(update: tuple[str, ...], inserted: tuple[str, ...] = _COLUMNS, touch: bool = True) -> str:
+def _merged(update: tuple[str, ...], inserted: tuple[str, ...] = _COLUMNS, touch: bool = True, target: str = _TARGET, events: str = _EVENTS) -> str:
     """``update`` from the last event in existing rows, the rest from the first in new ones."""
     parts = []
     for c in _COLUMNS:
@@ -170,7 +170,7 @@ def _merged(update: tuple[str, ...], inserted: tuple[str, ...] = _COLUMNS, touch
     updated = (
         f"CASE WHEN z.listing_id IS NOT NULL THEN {new} ELSE t.updated_at END" if touch else f"coalesce(t.updated_at, {new})"
     )
-    return f"""WITH t AS ({_TARGET}), e AS ({_EVENTS}),
+    return f"""WITH t AS ({target}), e AS ({events}),
  a AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY seq) = 1),
  z AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY seq DESC) = 1)
  SELECT coalesce(t.listing_id, z.listing_id) AS listing_id, {', '.join(parts)},
@@ -184,6 +184,25 @@ ORACLE["merge_full"] = _merged(_COLUMNS)
 ORACLE["merge_scheduled"] = _merged(
     ("price_numeric", "description", "scraped_at"), tuple(c for c in _COLUMNS if c != "criteria_k"), touch=False
 )
+ORACLE["store_upsert_read"] = ORACLE["merge_narrow"]
+ORACLE["store_lookup_stored"] = f"SELECT * FROM ({ORACLE['merge_full']}) WHERE listing_id = '900'"
+_LOADED = f"""SELECT seq, listing_id, title, concat(description, ' v2') AS description, category, price_numeric, 'TND' AS currency, listing_url,
+ strftime(scraped_at, {_STAMP}) AS scraped_at, CAST(NULL AS VARCHAR) AS criteria_k FROM (SELECT * FROM ({LC})
+ WHERE {_has('title')} AND {_has('listing_url')} AND {_has('price')} QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY seq) = 1)"""
+ORACLE["scheduled_run"] = _merged(
+    ("price_numeric", "description", "scraped_at"), tuple(c for c in _COLUMNS if c != "criteria_k"), touch=False,
+    target=_TARGET.replace("WHERE listing_url IS NOT NULL", "WHERE listing_url IS NOT NULL AND seq % 2 = 0"), events=_LOADED)
+_NEEDED = f"{_has('title')} AND {_has('listing_url')} AND {_has('price')}"
+ORACLE["step_counts"] = f"""WITH l AS ({L}), q AS (SELECT * FROM l WHERE {_NEEDED}),
+ d AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY seq) = 1),
+ c AS (SELECT (SELECT count(*) FROM l) AS a, (SELECT count(*) FROM q) AS b, (SELECT count(*) FROM d) AS c, (SELECT count(*) FROM d WHERE {_POSTED} >= DATE '1997-01-01') AS e)
+ SELECT 'read' AS step, a AS rows, 0::BIGINT AS removed FROM c UNION ALL SELECT 'required', b, a - b FROM c
+ UNION ALL SELECT 'distinct', c, b - c FROM c UNION ALL SELECT 'recent', e, c - e FROM c"""
+ORACLE["union_scoped"] = f"""WITH r AS (SELECT 'one' AS source, * FROM ({LC}) WHERE seq % 3 <> 0 UNION ALL SELECT 'two', * FROM ({LC}) WHERE seq % 2 = 0),
+ d AS (SELECT * FROM (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY source, listing_id ORDER BY seq) = 1) WHERE listing_url IS NOT NULL)
+ SELECT source, listing_id, title, CASE WHEN source = 'two' THEN concat(description, ' again') ELSE description END AS description, price_numeric FROM d"""
+ORACLE["flatten_open"] = f"""SELECT listing_id, surface, CAST(seq % 12 AS VARCHAR) AS criteria_floor, CAST(NULL AS VARCHAR) AS criteria_surface,
+ concat('{{"k', seq, '":"x","vue":"mer"}}') AS criteria_rest FROM ({L})"""
 _T_COLUMNS = "listing_id, title, description, category, price_numeric, currency, listing_url, scraped_at, created_at, updated_at, criteria_k"
 ORACLE["insert_new"] = f"""WITH t AS ({_TARGET}), e AS ({_EVENTS}) SELECT {_T_COLUMNS} FROM t UNION ALL
  SELECT listing_id, title, description, category, price_numeric, currency, listing_url, scraped_at, '{AS_OF}', '{AS_OF}', criteria_k
@@ -316,6 +335,15 @@ ORACLE["links_join_pages"] = f"""WITH l AS ({_LINKS_1}), o AS (SELECT concat('{S
  a AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY url ORDER BY crawl_id, page_no, link_no) = 1)
  SELECT a.url, times_linked, page_id, crawl_id, page_no, link_no FROM a JOIN g ON a.url = g.url JOIN o ON a.url = o.url"""
 
+ORACLE["crawl_sample"] = """WITH p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_orderkey // 24 END AS crawl_id,
+  CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey // 3 ELSE (o_orderkey % 24) // 3 * 2 + o_orderkey % 3 - 1 END + 1 AS INTEGER) AS page_no FROM orders),
+ e AS (SELECT crawl_id, coalesce(min(CASE WHEN crawl_id >= 0 AND k % 89 = 0 THEN page_no END), max(page_no)) AS last_page FROM p GROUP BY crawl_id),
+ l AS (SELECT crawl_id, page_no, CAST(i AS INTEGER) AS link_no, CASE WHEN i = 0 THEN concat('u', k // 6) ELSE concat('u', k, '-', i) END AS listing_url
+       FROM (SELECT *, unnest(range(k % 7 + 1)) AS i FROM p)),
+ d AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY crawl_id, listing_url ORDER BY page_no, link_no) = 1)
+ SELECT crawl_id, page_no, link_no, listing_url FROM d JOIN e USING (crawl_id) WHERE page_no <= last_page
+ QUALIFY row_number() OVER (PARTITION BY crawl_id ORDER BY page_no, link_no) <= 5000"""
+
 _SEARCHES = """SELECT c_custkey AS search_id,
  concat(array_to_string(list_transform(string_split(lower(r_name), ' '), lambda s: s), '-'), '/cite-',
         replace(replace(lower(n_name), '_', '-'), ' ', '-')) AS place,
@@ -328,6 +356,17 @@ ORACLE["seed_urls"] = f"""SELECT search_id, transaction_type, category, {_START}
   ('sale', 'land', 'terrains-a-vendre'), ('rent', 'land', 'terrains-a-louer'),
   ('sale', 'villa', 'villas-et-maisons-de-luxe-a-vendre'), ('rent', 'villa', 'villas-et-maisons-de-luxe-a-louer')
  ) AS g(transaction_type, category, slug)"""
+_GRID = f"""SELECT search_id, transaction_type, category, {_START} AS start_url FROM ({_SEARCHES}),
+ (VALUES ('sale', 'apartment', 'appartements-a-vendre'), ('rent', 'apartment', 'appartements-a-louer'),
+  ('sale', 'land', 'terrains-a-vendre'), ('rent', 'land', 'terrains-a-louer')) AS g(transaction_type, category, slug)"""
+ORACLE["portal_searched"] = f"""WITH g AS ({_GRID}), s AS (SELECT regexp_replace(start_url, ':p:[0-9]+$', '') AS p, min(search_id) AS search_id,
+  arg_min(category, (search_id, category, transaction_type)) AS c, arg_min(transaction_type, (search_id, category, transaction_type)) AS t FROM g GROUP BY 1),
+ o AS (SELECT o_orderkey AS seq, start_url FROM orders LEFT JOIN g ON g.search_id = o_orderkey % (SELECT count(*) FROM customer) + 1 AND g.category = 'land'
+  AND g.transaction_type = CASE WHEN o_orderkey % 2 = 0 THEN 'sale' ELSE 'rent' END),
+ f AS (SELECT seq, CASE seq % 5 WHEN 0 THEN regexp_replace(start_url, ':p:[0-9]+$', '') WHEN 1 THEN concat(start_url, '/quartier') WHEN 2 THEN '-' WHEN 3 THEN '-'
+  ELSE regexp_replace(start_url, ':p:[0-9]+$', '') END AS u FROM o),
+ m AS (SELECT seq, s.search_id, c, t FROM f LEFT JOIN s ON u = p OR regexp_replace(u, '/[^/]*$', '') = p)
+ SELECT m.seq, listing_id, search_id, c AS category, t AS transaction_type FROM m JOIN ({expected('portal', ['seq', 'listing_id'], validate=False)}) x ON x.seq = m.seq"""
 ORACLE["page_urls"] = f"""WITH s AS (SELECT search_id, {_START} AS start_url, unnest(range(1, search_id % 5 + 2)) AS i
   FROM (SELECT *, 'bureaux-a-vendre' AS slug FROM ({_SEARCHES})))
  SELECT profile, search_id, CAST(i AS INTEGER) AS page_no, CASE WHEN i = 1 THEN start_url
@@ -341,4 +380,5 @@ ORACLE["csv_roundtrip"] = f"""SELECT listing_id, title, price_numeric, city, gov
  {_FLAT_EXTRA.replace('to_json([listing_url])', 'CAST(to_json([listing_url]) AS VARCHAR)')}, CAST(surface AS VARCHAR) AS criteria_surface FROM ({L})"""
 ORACLE["json_roundtrip"] = f"""SELECT listing_id, title, price_numeric, city, governorate, image_count, listing_id AS image_urls FROM ({L})"""
 ORACLE["stream_extract"] = f"""SELECT page_id AS seq, url AS listing_url, concat('hash_', md5(url)) AS listing_id, {_H1} AS title FROM pages"""
-ORACLE["stream_dedupe"] = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS listing_id FROM events"
+ORACLE["stream_dedupe"] = f"""SELECT CAST(user_id AS VARCHAR) AS listing_id, event_id, event_type, value, props, strftime(ts, {_STAMP}) AS ts FROM events
+ WHERE user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from listwright.functions import dates, text, urls, values
 from listwright.operators import crawl, curate, document, export, links, quality, report, store
 from listwright.plans import classifieds, common, portal, refline
+from listwright.plans import curated as curated_plan
 from listwright.plans.curated import PROFILES
 from listwright.session import scratch_path
 from listwright.settings import CLASSIFIEDS, PORTAL, REFLINE
@@ -234,10 +235,10 @@ def target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.new_table(valid, F.to_timestamp(F.lit("2020-01-01 00:00:00")))
 
 
-def batch(events: DataFrame) -> DataFrame:
-    """Observations as prepared listings: known keys, new keys, repeated keys."""
+def seen_listings(events: DataFrame) -> DataFrame:
+    """Observations as listings: known keys, new keys, repeated keys."""
     known = (F.col("user_id") * 90).cast("string")
-    rows = events.select(
+    return events.select(
         F.col("event_id").alias("seq"),
         F.when(F.col("event_type") == "error", F.concat(F.lit("N"), F.col("user_id").cast("string"))).otherwise(known).alias("listing_id"),
         F.concat(F.lit("Seen "), "event_type").alias("title"),
@@ -249,7 +250,10 @@ def batch(events: DataFrame) -> DataFrame:
         F.col("ts").alias("scraped_at"),
         F.create_map(F.lit("k"), F.get_json_object("props", "$.k")).alias("criteria"),
     )
-    return store.store_prepare(rows)
+
+
+def batch(events: DataFrame) -> DataFrame:
+    return store.store_prepare(seen_listings(events))
 
 
 def flat(stored: DataFrame) -> DataFrame:
@@ -332,6 +336,72 @@ def store_top_cities(spark, sf_dir):
     return store.top_cities(target(spark, sf_dir))
 
 
+def stored(spark: SparkSession, sf_dir: str, purpose: str) -> store.ListingStore:
+    """A stored table below the shared folder, filled with the target."""
+    keep = store.ListingStore(spark, scratch_path(spark, purpose), partitions=16)
+    keep.write(target(spark, sf_dir))
+    return keep
+
+
+@query
+def store_upsert_read(spark, sf_dir):
+    """A batch merged into the stored table, and the table read back."""
+    keep = stored(spark, sf_dir, "store-upsert")
+    keep.upsert(seen_listings(table(spark, sf_dir, "events")), as_of())
+    return flat(keep.table())
+
+
+@query
+def store_lookup_stored(spark, sf_dir):
+    """One listing of the stored table after a merge; only its partition is read."""
+    keep = stored(spark, sf_dir, "store-lookup")
+    keep.upsert(seen_listings(table(spark, sf_dir, "events")), as_of(), "full")
+    return flat(keep.lookup("900"))
+
+
+@query
+def union_scoped(spark, sf_dir):
+    """Two sources that share listing ids, kept apart through dedupe, merge and store."""
+    rows = categorised(spark, sf_dir)
+    first, second = rows.where("seq % 3 <> 0").withColumn("source", F.lit("one")), rows.where("seq % 2 = 0").withColumn("source", F.lit("two"))
+    keys = ["source", "listing_id"]
+    both = curate.dedupe_first(curate.union_sources(first, second), key=keys).where("listing_url IS NOT NULL")
+    keep = store.ListingStore(spark, scratch_path(spark, "store-scoped"), partitions=8, scope="source")
+    keep.write(store.new_table(store.store_prepare(both.where("source = 'one' OR seq % 4 = 0"), "source"), as_of(), key=keys))
+    keep.upsert(both.where("source = 'two'").withColumn("description", F.concat("description", F.lit(" again"))), as_of())
+    return keep.table("one").unionByName(keep.table("two")).select(
+        "source", "listing_id", "title", "description", F.col("price_numeric").cast("double").alias("price_numeric"))
+
+
+@query
+def scheduled_run(spark, sf_dir):
+    """The daily load, done twice under the same id: the second time changes nothing."""
+    keep = store.ListingStore(spark, scratch_path(spark, "store-scheduled"), partitions=16)
+    rows = categorised(spark, sf_dir)
+    valid, _ = store.split_valid(store.store_prepare(rows.where("seq % 2 = 0")))
+    keep.write(store.new_table(valid, F.to_timestamp(F.lit("2020-01-01 00:00:00"))))
+    changed = rows.withColumn("description", F.concat("description", F.lit(" v2")))
+    for _ in range(2):
+        curated_plan.scheduled_run(changed, keep, "2024-06-01", as_of())
+    return flat(keep.table())
+
+
+@query
+def step_counts(spark, sf_dir):
+    """Rows that each step of the curation keeps and removes, counted while they pass."""
+    steps = curated_plan.write_counted(listings(spark, sf_dir), scratch_path(spark, "step-counts"), "1997-01-01")
+    return spark.createDataFrame(steps, "step string, rows long, removed long")
+
+
+@query
+def flatten_open(spark, sf_dir):
+    """More criteria keys than columns: one key of its own in each listing, kept in the rest column."""
+    rows = listings(spark, sf_dir).select(
+        "seq", "listing_id", "surface",
+        F.create_map(F.concat(F.lit("k"), F.col("seq").cast("string")), F.lit("x"), F.lit("floor"), (F.col("seq") % 12).cast("string"), F.lit("vue"), F.lit("mer")).alias("criteria"))
+    return export.flatten(rows, ["floor", "surface"], rest=True)
+
+
 # --- documents: text functions -------------------------------------------------------
 
 
@@ -607,6 +677,19 @@ def crawl_listings(spark, sf_dir):
     return taken.select("crawl_id", "page_no", "link_no", "listing_url")
 
 
+@query
+def crawl_sample(spark, sf_dir):
+    """The first 5,000 listings of each crawl; one crawl has a third of all pages."""
+    pages = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", "IF(o_orderkey % 3 = 0, -1, o_orderkey div 24) AS crawl_id",
+        "CAST(IF(o_orderkey % 3 = 0, o_orderkey div 3, (o_orderkey % 24) div 3 * 2 + o_orderkey % 3 - 1) + 1 AS INT) AS page_no")
+    found = pages.selectExpr("crawl_id", "page_no", "k", "transform(sequence(0, CAST(k % 7 AS INT)), i -> IF(i = 0, concat('u', k div 6), concat('u', k, '-', i))) AS links",
+                             "crawl_id < 0 OR k % 89 <> 0 AS has_next")
+    rows = links.link_rows(found, "crawl_id", "page_no").selectExpr(
+        "crawl_id", "page_no", "link_no", "url AS listing_url", "CAST(NULL AS STRING) AS listing_id", "page_no * 100L + link_no AS seq")
+    return crawl.crawl_listings(rows, found, sample_size=5000).select("crawl_id", "page_no", "link_no", "listing_url")
+
+
 @query
 def links_join_pages(spark, sf_dir):
     found = links.read_result_pages(result_pages(spark, sf_dir, "classifieds"), "classifieds")
@@ -635,6 +718,24 @@ def seed_urls(spark, sf_dir):
     return grid.select("search_id", "transaction_type", "category", "start_url")
 
 
+@query
+def portal_searched(spark, sf_dir):
+    """Category and transaction of portal listings, from the search whose result page they were found on."""
+    grid = search.search_grid(searches(spark, sf_dir), ["vente", "Louer"], ["logement", "Terrain"])
+    path = scratch_path(spark, "searches")
+    grid.select("search_id", "transaction_type", "category", "start_url").write.parquet(path)
+    grid = spark.read.parquet(path)
+    # the page an advert was found on: a search's result page, one below it, or one of no search
+    customers = table(spark, sf_dir, "customer").count()
+    firsts = grid.where("category = 'land'").select(F.col("search_id").alias("s"), F.col("start_url").alias("start"), F.col("transaction_type").alias("t"))
+    found_on = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS seq", f"o_orderkey % {customers} + 1 AS s", "IF(o_orderkey % 2 = 0, 'sale', 'rent') AS t").join(firsts, ["s", "t"], "left")
+    found_on = found_on.selectExpr("seq", """CASE seq % 5 WHEN 0 THEN concat(start, ':p:', seq % 9 + 2) WHEN 1 THEN concat(start, '/quartier-', seq, '?x=1')
+        WHEN 2 THEN 'https://www.portal.example/fr/elsewhere' WHEN 3 THEN concat(start, '-autre') ELSE start END AS found_on""")
+    attached = search.with_search(found_on, grid, "seq", "found_on")
+    extracted = portal.extract(detail_pages(spark, sf_dir, "portal"), validate=False, category=None, transaction=None).select("seq", "listing_id")
+    return extracted.join(attached, "seq").select("seq", "listing_id", "search_id", "category", "transaction_type")
+
+
 @query
 def page_urls(spark, sf_dir):
     grid = search.search_grid(searches(spark, sf_dir), ["sale"], ["bureau"])
@@ -684,25 +785,35 @@ def stream_extract(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("seq", "listing_url", "listing_id", "title")
 
 
+def arrivals(spark: SparkSession, sf_dir: str, base: str, parts: range) -> None:
+    """Some of four arrivals of events, as files in the order they come."""
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0]
+    for i in parts:
+        events.where(F.floor(F.col("event_id") * 4 / (last + 1)) == i).coalesce(1).write.mode("append").parquet(base)
+
+
 @query
 def stream_dedupe(spark, sf_dir):
+    """The first event of each user, whole, though the arrivals come in reverse."""
     base = scratch_path(spark, "stream-dedupe")
-    stream = intake.read_stream(spark, sf_dir, "events.parquet").withColumn("listing_id", F.col("user_id").cast("string"))
-    kept = intake.dedupe_stream(stream, "ts", "40 days").select("listing_id")
-    return intake.run_to_table(kept, f"{base}/out", f"{base}/checkpoint")
+    arrivals(spark, sf_dir, f"{base}/in", range(3, -1, -1))
+    # a last event far ahead moves the watermark beyond all windows
+    table(spark, sf_dir, "events").limit(1).withColumns({"user_id": F.lit(None).cast("long"), "ts": F.col("ts") + F.expr("INTERVAL 1000 DAYS")}).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = intake.read_stream(spark, f"{base}/in", files_per_trigger=1).withColumn("listing_id", F.col("user_id").cast("string"))
+    ticking = stream.withColumn("listing_id", F.coalesce("listing_id", F.lit("tick")))
+    kept = intake.dedupe_stream(ticking, "ts", "200 days", order="event_id")
+    rows = intake.run_to_table(kept, f"{base}/out", f"{base}/checkpoint")
+    return rows.where("listing_id <> 'tick'").select("listing_id", "event_id", "event_type", "value", "props", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
 
 @query
 def stream_merge(spark, sf_dir):
-    """Four arrivals of events folded into the store; equals one batch merge."""
-    events = table(spark, sf_dir, "events")
+    """Four arrivals of events merged into the stored table by a stream that is stopped and started again half way."""
     base = scratch_path(spark, "stream-merge")
-    last = events.agg(F.max("event_id")).first()[0]
-    for i in range(4):
-        arrived = events.where(F.floor(F.col("event_id") * 4 / (last + 1)) == i)
-        arrived.write.mode("append").parquet(f"{base}/in")
-    stream = intake.read_stream(spark, f"{base}/in", files_per_trigger=1)
-    final = intake.fold_stream(
-        stream, target(spark, sf_dir), lambda t, b: store.merge_narrow(t, batch(b), as_of()), "stream-merge-state"
-    )
-    return flat(final)
+    keep = stored(spark, sf_dir, "stream-store")
+    for parts in (range(0, 2), range(2, 4)):
+        arrivals(spark, sf_dir, f"{base}/in", parts)
+        stream = seen_listings(intake.read_stream(spark, f"{base}/in", files_per_trigger=1))
+        intake.stream_merge(stream, keep, as_of(), f"{base}/checkpoint").awaitTermination()
+    return flat(keep.table())
