@@ -20,6 +20,9 @@ the tasks are packed planes, a tenth of the vectors' size.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -35,9 +38,10 @@ LONG = (1 << 63) - 1
 
 def integers(vector: list[float], scale: float) -> np.ndarray:
     """floor(scale * x) of all components; beyond 62 bits as Python integers."""
-    scaled = np.floor(np.asarray(vector, dtype=np.float64) * scale)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(np.asarray(vector, dtype=np.float64) * scale)
     if scaled.size and np.abs(scaled).max() >= 2.0 ** 62:
-        return np.array([int(x) for x in scaled], dtype=object)
+        return np.array([math.floor(Fraction(x) * Fraction(scale)) for x in vector], dtype=object)
     return scaled.astype(np.int64)
 
 

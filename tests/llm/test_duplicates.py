@@ -131,6 +131,20 @@ def test_edited_likeness_of_odd_rows(spark):
     assert spotsigs.edited_likeness(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("rows_per_range", [10_000, 5])
+def test_repeated_and_null_keys_are_split(spark, rows_per_range):
+    rows = [(None, f"the text number {i} of null") for i in range(40)] + [(7, f"a seventh text {i % 30} and more") for i in range(50)] + [(i, f"the row {i}") for i in range(20)] + [(-(1 << 63), "least of all keys")]
+    docs = spark.createDataFrame(rows, "`a.id` long, text string").repartition(6)
+    got = sorted(repr((r["a.id"], r["n_chars"], r["edited_sha256"])) for r in spotsigs.edited_likeness(docs, "a.id", rows_per_range=rows_per_range).collect())
+    tie = lambda t: xxhash.xxh64_intdigest(t.encode()) >> 1
+    order = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), tie(r[1])))
+    want = []
+    for i, (k, t) in enumerate(order):
+        edited = t[:len(t) - len(t) // 3] + order[(i + 1) % len(order)][1][:len(t) // 3]
+        want.append(repr((k, len(t), hashlib.sha256(edited.encode()).hexdigest())))
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("threshold", [0.8, 0.5, 1.0])
 def test_similar(spark, threshold):
     rng = np.random.default_rng(2)

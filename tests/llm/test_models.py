@@ -6,6 +6,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,22 +46,68 @@ def test_top_k(spark, block_rows):
 
 
 def test_top_k_of_odd_rows(spark):
-    rows = [(0, [1.0, 2.0]), (50, [1.0]), (1, None), (2, [float("nan"), 1.0]), (None, [1.0, 1.0]), (3, []), (4, [None, 1.0]), (5, [1e300, 1.0]), (0, [1.0, 2.0]), (100, [float("inf")])]
+    rows = [(0, [1.0, 2.0]), (50, [1.0]), (1, None), (2, [float("nan"), 1.0]), (None, [1.0, 1.0]), (3, []), (4, [None, 1.0]), (5, [1.5e308, 1.0]), (0, [1.0, 2.0]), (100, [float("inf")])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     top = 2**63 - 1
     assert by_query(topk.top_k(frame, F.col("vec_id") % 50 == 0)) == {0: [(5, top), (50, 65536), (3, 0)], 50: [(5, top), (0, 65536), (3, 0)]}
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
-def test_cover_tree_covers():
+def given_vectors(n=1000):
+    import pyarrow.parquet as pq
+
+    return np.floor(256 * np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist()[:n], dtype=float))
+
+
+@pytest.mark.parametrize("kind", ["clusters", "given"])
+def test_cover_tree_invariants(kind):
+    """Nesting, covering and separation by scale, and radii that cover what lies below."""
     rng = np.random.default_rng(4)
-    points = np.concatenate([rng.normal(size=(900, 5)), np.zeros((300, 5)), rng.normal(size=(800, 5)) * 1e-3 + 4])
+    points = given_vectors() if kind == "given" else np.concatenate([rng.normal(size=(400, 5)), np.zeros((300, 5)), rng.normal(size=(300, 5)) * 1e-3 + 4])
     tree = topk.Tree(points)
-    assert sorted(tree.order.tolist()) == list(range(len(points)))
-    for centre, radius, (start, end), children in zip(tree.centre, tree.radius, tree.span, tree.children):
-        assert np.linalg.norm(points[tree.order[start:end]] - centre, axis=1).max() <= radius
-        if children:
-            assert sorted(tree.span[c] for c in children)[0][0] == start and sum(tree.span[c][1] - tree.span[c][0] for c in children) == end - start
+    away = lambda a, b: np.linalg.norm(points[a][:, None] - points[b][None], axis=2)
+    assert len(tree.levels) >= 4 and len(tree.levels[0]) == 1 and len(tree.levels[-1]) > 500
+    for i, (scale, level, parents, radii, below) in enumerate(zip(tree.scales, tree.levels, tree.parents, tree.radii, tree.below)):
+        apart = away(level, level)
+        np.fill_diagonal(apart, np.inf)
+        assert len(level) == 1 or apart.min() > scale * (1 - 1e-9) - 1e-6
+        if i:
+            assert (level[:len(tree.levels[i - 1])] == tree.levels[i - 1]).all() and (tree.below[i - 1] == parents[below]).all()
+            assert (np.linalg.norm(points[level] - points[tree.levels[i - 1][parents]], axis=1) <= tree.scales[i - 1] + 1e-5).all()
+        assert (np.linalg.norm(points - points[level[below]], axis=1) <= radii[below] + 1e-5).all()
+
+
+def compared(points, every=10, k=5):
+    frame = pd.DataFrame({"id": np.arange(len(points)), "v": list(points), "floor": None}).astype({"floor": "Float64"})
+    asked = frame[frame["id"] % every == 0]
+    found, _ = topk.search(asked, frame, k, 1.0)
+    worst = found.groupby("query_id")["score"].min()
+    again = asked.assign(floor=worst.loc[asked["id"]].to_numpy().astype(float))
+    same, pairs = topk.search(again, frame, k, 1.0)
+    assert found.equals(same)
+    return pairs / (len(asked) * len(frame))
+
+
+def test_clusters_are_pruned():
+    """The share of pairs compared once the kth scores are known: small for clusters, all for even directions."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 24))
+    centres *= 1000 / np.linalg.norm(centres, axis=1)[:, None]
+    assert compared(np.floor(centres[rng.integers(40, size=2000)] + rng.normal(size=(2000, 24)) * 12)) < 0.1
+    assert compared(given_vectors(2000)) <= 1.0
+
+
+def test_blocks_apart_do_not_meet(spark):
+    """Two far clusters and one vector that a third of the rows share."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (np.array([50.0, 0, 0]) + rng.normal(size=3)).tolist()) for i in range(700)] + [(700 + i, (np.array([0, 50.0, 0]) + rng.normal(size=3)).tolist()) for i in range(700)] + [(1400 + i, [0.0, 0.0, 30.0]) for i in range(700)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    assert by_query(topk.top_k(frame, F.col("vec_id") % 50 == 0, block_rows=150, scale=256.0)) == plain_top(rows, 5, 50)
+    data, blocks = topk._dealt(frame.selectExpr("vec_id AS id", "embedding AS v"), 256.0, 150)
+    sizes = [r["count"] for r in data.groupBy("block").count().collect()]
+    assert max(sizes) < 260 and len(sizes) == len(blocks)
+    floors = {b: 256.0**2 * 800 for b in blocks["block"]}
+    assert sum(len(d) for _, d in topk._meeting(blocks, blocks, floors)) < 0.7 * len(blocks) ** 2
 
 
 def test_claiming_order():

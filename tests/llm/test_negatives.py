@@ -1,6 +1,8 @@
 """Hard negatives against plain inner products."""
 
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -16,7 +18,7 @@ def plain(rows, every, positives=5, negatives=3):
     usable = {}
     for i, v, label in sorted((r for r in rows if None not in r), key=lambda r: (r[0], r[1], r[2])):
         if all(x is not None and abs(x) < float("inf") for x in v):
-            usable.setdefault(i, ([int(np.floor(x * 256.0)) for x in v], label))
+            usable.setdefault(i, ([math.floor(Fraction(x) * 256) for x in v], label))
     score = lambda a, b: sum(x * y for x, y in zip(usable[a][0], usable[b][0]))
     out = []
     for a in usable:
@@ -56,7 +58,7 @@ def test_odd_rows(spark):
 
 
 def test_huge_components(spark):
-    rows = [(0, [1e30, -3.0], 1), (1, [1e29, 7.0], 1), (2, [6e28, 1.0], 2), (3, [5.5e28, 1.0], 2), (4, [-1e200, 0.0], 2), (5, [9e28, 0.0], 2), (6, [9.6e28, 0.0], 2), (7, [1e10, 5.0], 1)]
+    rows = [(0, [1e30, -3.0], 1), (1, [1e29, 7.0], 1), (2, [6e28, 1.0], 2), (3, [5.5e28, 1.0], 2), (4, [-1e200, 0.0], 2), (5, [9e28, 0.0], 2), (6, [9.6e28, 0.0], 2), (7, [1e10, 5.0], 1), (8, [-1.7e308, 0.0], 2)]
     top = 2**63 - 1
     want = [(a, b, k, c, min(top, p), min(top, n)) for a, b, k, c, p, n in plain(rows, 50)]
     assert mined(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")) == want and len(want) == 3
