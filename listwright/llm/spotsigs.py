@@ -11,8 +11,9 @@ rules look at a few words only: an edit changes no signature farther away.
 
 `similar` joins fingerprints: sets are partitioned by their length, a set
 meets only partitions whose lengths still allow the threshold, through the
-rarest of its signatures (as many as a match can't avoid), and the comparison
-stops as soon as the signatures left can't reach the threshold any more.
+rarest of its signatures (as many as a match can't avoid), and a meeting counts
+only if the signatures behind the shared one can still reach the threshold;
+what is left is compared in full.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0, at most 1")
-    rows = cut_lineage(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), chain=chain).drop("text"))
+    rows = cut_lineage(fingerprints(docs.select(*(c.alias(n) for c, n in zip(worker.columns([key, text]), ("key", "text")))), chain=chain).drop("text"))
     # a class is named by a digest of its set, so that a null or repeated key names none
     digest = F.xxhash64("signatures")
     sets = cut_lineage(rows.groupBy("signatures").agg(F.min("key").alias("least")).withColumn("id", digest))
@@ -133,19 +134,22 @@ def links(sets: DataFrame, threshold: float) -> DataFrame:
     # rarest signatures first: a match must share one of the first n - ceil(t * n) + 1
     ordered = counted.join(frequency, "s").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("ranked"))
     base = sets.select("id", "signatures", n.alias("n"), _length_part(n, threshold).alias("part"))
-    rare = ordered.select("id", F.explode(F.slice(F.col("ranked.s"), F.lit(1), F.size("ranked") - F.ceil(F.size("ranked") * threshold - 1e-9).cast("int") + 1)).alias("s"))
+    rare = ordered.select("id", F.posexplode(F.slice(F.col("ranked.s"), F.lit(1), F.size("ranked") - F.ceil(F.size("ranked") * threshold - 1e-9).cast("int") + 1)).alias("at", "s"))
     entry = rare.join(base.select("id", "n", "part"), "id")
-    left = entry.select(F.col("id").alias("a"), F.col("n").alias("na"), "s", "part")
-    right = entry.select(F.col("id").alias("b"), F.col("n").alias("nb"), "s", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
+    left = entry.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("i"), "s", "part")
+    right = entry.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("j"), "s", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
     met = left.join(right, ["s", "part"]).where(
         (F.col("nb") < F.col("na")) & (F.col("nb") >= F.col("na") * threshold - 1e-9) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    # behind the first shared signature no more can be shared than either set has left
+    most = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))
+    met = met.where(most >= (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9)
     pairs = met.select("a", "b").distinct()
     both = pairs.join(base.select(F.col("id").alias("a"), F.col("signatures").alias("sa")), "a").join(base.select(F.col("id").alias("b"), F.col("signatures").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.where(shared / (F.size("sa") + F.size("sb") - shared) >= threshold - 1e-12).select("a", "b")
 
 
-def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", chain: int = 2, rows_per_range: int = 10_000, most_ranges: int = 100_000) -> DataFrame:
+def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", chain: int = 2, rows_per_range: int = 10_000) -> DataFrame:
     """Per row: key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text is the text with its last third (floor) replaced by the
@@ -155,27 +159,49 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", ch
     null text counts as empty; a single row is its own next; an empty table
     gives no row.
 
-    The rows are dealt to ranges of keys and sorted within them, which is the
-    only shuffle of texts (compressed). A range's first row also goes to the
-    range that comes before it, so that every row meets its next one.
-    `most_ranges` bounds the list of range ends that travels to the tasks.
+    The rows are dealt to ranges and sorted within them, which is the only
+    shuffle of texts (compressed). A key that more than `rows_per_range` rows
+    repeat, null among them, is a range of its own and is dealt to parts by
+    its texts' hashes. A range's first row also goes to the range that comes
+    before it, so that every row meets its next one. The list of range ends,
+    one number for `rows_per_range` rows, travels to the tasks.
     """
     least = -(1 << 63)
     context = docs.sparkSession.sparkContext
-    order = F.coalesce(F.col(key).cast("long"), F.lit(least))
+    own, t = worker.columns([key, text])
+    order = F.coalesce(own.cast("long"), F.lit(least))
     keys = docs.select(order.alias("ord"))
-    n_ranges = min(most_ranges, keys.count() // rows_per_range + 1)
+    n_ranges = keys.count() // rows_per_range + 1
     inner = keys.stat.approxQuantile("ord", [i / n_ranges for i in range(1, n_ranges)], 0.2 / n_ranges) if n_ranges > 1 else []
-    ends = context.broadcast(np.unique(np.array(inner).astype(np.int64)))
+    repeated = keys.groupBy("ord").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_range).collect() if n_ranges > 1 else []
+    parts = {r["ord"]: -(-r["n"] // rows_per_range) for r in repeated}
+    cuts = sorted({int(x) for x in inner} | set(parts) | {o - 1 for o in parts if o > least})
+    widest = max(parts.values(), default=1)
+    sent = context.broadcast((np.array(cuts, dtype=np.int64), parts, widest))
+
+    def labels(ords: np.ndarray, ties: list[int] | None) -> np.ndarray:
+        """Number of each row's range and part; a higher number comes before, but for the parts of a key."""
+        ends, split, width = sent.value
+        label = np.searchsorted(ends, ords).astype(np.int64) * width
+        if split and ties is not None:
+            label += [ties[i] * split[o] >> 63 if o in split else 0 for i, o in enumerate(ords.tolist())]
+        return label
+
+    def tie_of(text: bytes) -> int:
+        return xxhash.xxh64_intdigest(text) >> 1
 
     def ranged(batches):
         for batch in batches:
-            o = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(ends.value, o).astype(np.int32)), batch.column(0)], names=["part", "ord"])
+            o = batch.column("ord").to_numpy()
+            ties = [tie_of(x.encode()) for x in worker.texts(batch.column("text"))] if sent.value[1] else None
+            yield pa.RecordBatch.from_arrays([pa.array(labels(o, ties)), batch.column("ord")], names=["part", "ord"])
 
-    firsts = keys.mapInArrow(ranged, "part int, ord long").groupBy("part").agg(F.max("ord").alias("ord")).orderBy("part").collect()
-    # the first key of each range, and the range before it: the next higher one, or, around the end, the lowest
-    before = context.broadcast({r["ord"]: firsts[(i + 1) % len(firsts)]["part"] for i, r in enumerate(firsts)})
+    # texts are read here only where a key's rows have to be told apart
+    seen = docs.select(order.alias("ord"), (t if parts else F.lit(None).cast("string")).alias("text"))
+    firsts = seen.mapInArrow(ranged, "part long, ord long").groupBy("part").agg(F.max("ord").alias("ord")).collect()
+    firsts = sorted(firsts, key=lambda r: (-r["ord"], r["part"]))
+    # the part before each one, around the end; and the key of its first row
+    before = context.broadcast({r["part"]: (r["ord"], firsts[i - 1]["part"]) for i, r in enumerate(firsts)})
 
     def deal(batches):
         kept: dict[int, tuple] = {}
@@ -185,17 +211,18 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", ch
         for batch in batches:
             kind = batch.schema.field("key").type
             o = batch.column("ord").to_numpy()
-            texts = [t.encode() for t in worker.texts(batch.column("text"))]
-            ties = [xxhash.xxh64_intdigest(t) >> 1 for t in texts]
-            packed = [pack(t) for t in texts]
-            for i, value in enumerate(o.tolist()):
-                if value in before.value and (value not in kept or ties[i] < kept[value][0]):
-                    kept[value] = (ties[i], packed[i])
+            texts = [x.encode() for x in worker.texts(batch.column("text"))]
+            ties = [tie_of(x) for x in texts]
+            packed = [pack(x) for x in texts]
+            label = labels(o, ties)
+            for i, (value, part) in enumerate(zip(o.tolist(), label.tolist())):
+                if value == before.value[part][0] and (part not in kept or ties[i] < kept[part][0]):
+                    kept[part] = (ties[i], packed[i])
             n = len(o)
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(ends.value, o).astype(np.int32)), pa.array([False] * n), batch.column("ord"), pa.array(ties, pa.int64()), batch.column("key"), pa.array(packed, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(label), pa.array([False] * n), batch.column("ord"), pa.array(ties, pa.int64()), batch.column("key"), pa.array(packed, pa.binary())], names=names)
         if kept:
             values, n = list(kept), len(kept)
-            yield pa.RecordBatch.from_arrays([pa.array([before.value[v] for v in values], pa.int32()), pa.array([True] * n), pa.array(values, pa.int64()), pa.array([kept[v][0] for v in values], pa.int64()), pa.nulls(n, kind), pa.array([kept[v][1] for v in values], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([before.value[v][1] for v in values], pa.int64()), pa.array([True] * n), pa.array([before.value[v][0] for v in values], pa.int64()), pa.array([kept[v][0] for v in values], pa.int64()), pa.nulls(n, kind), pa.array([kept[v][1] for v in values], pa.binary())], names=names)
 
     def describe(batches):
         unpack = zstandard.ZstdDecompressor().decompress
@@ -215,9 +242,12 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", ch
             kinds = [batch.schema.field("key").type, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
-    kind = docs.select(F.col(key).alias("key")).schema["key"].dataType.simpleString()
-    source = docs.select(order.alias("ord"), F.col(key).alias("key"), F.col(text).alias("text"))
-    dealt = source.mapInArrow(deal, f"part int, extra boolean, ord long, tie long, key {kind}, packed binary").repartitionById(n_ranges, F.col("part"))
+    kind = docs.select(own.alias("key")).schema["key"].dataType.simpleString()
+    source = docs.select(order.alias("ord"), own.alias("key"), t.alias("text"))
+    dealt = source.mapInArrow(deal, f"part long, extra boolean, ord long, tie long, key {kind}, packed binary")
+    # neighbouring parts go to partitions one after the other
+    number = F.broadcast(docs.sparkSession.createDataFrame([(r["part"], i) for i, r in enumerate(firsts)], "own_part long, number int"))
+    dealt = dealt.join(number, F.col("part") == F.col("own_part")).drop("own_part").repartitionById(max(1, len(firsts)), F.col("number"))
     ready = dealt.sortWithinPartitions("part", "extra", F.desc("ord"), "tie").select("extra", "key", "packed")
     return ready.mapInArrow(describe, f"`{key}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
