@@ -64,13 +64,16 @@ def dedupe_id_or_url(
     all three one stays.  Rows without id (or URL) are tested on the other
     column only, rows without both always stay.
 
-    Rows are edges between their id and their URL; the kept rows are the
-    first-come matching of that graph.  Each round keeps every row that is
+    Where every URL has one id (the usual case, as ids are made from URLs), the
+    rows that share a URL share the id, so the first row of each id is the
+    answer; one aggregate over the keys tells.
+
+    Otherwise rows are edges between their id and their URL; the kept rows are
+    the first-come matching of that graph.  Each round keeps every row that is
     first for both its id and its URL, drops all rows touching a kept id or
     URL, and settles the paths that are left by pointer jumping; rounds repeat
-    until nothing is left, which is exact.  If the id is a function of the URL
-    (the usual case) one round settles everything, and chains of re-listings
-    take the logarithm of their length.  For graphs that are no paths no such
+    until nothing is left, which is exact.  Chains of re-listings take the
+    logarithm of their length.  For graphs that are no paths no such
     bound on the rounds is known.
     """
     own_id, own_url = F.nullif(F.col(id_col), F.lit("")), F.nullif(F.col(url_col), F.lit(""))
@@ -79,6 +82,14 @@ def dedupe_id_or_url(
         "_id": F.coalesce(own_id, F.concat(F.lit("\x00"), own_url)),
         "_url": F.coalesce(own_url, F.concat(F.lit("\x00"), own_id)),
     })
+    rest = F.xxhash64(*(f.name for f in df.schema.fields if f.dataType.typeName() != "map"))
+    keyed = named.where("_id IS NOT NULL")
+    several = keyed.groupBy("_url").agg((F.min("_id") != F.max("_id")).alias("several")).where("several")
+    if several.isEmpty():
+        # rows without id and URL are groups of their own
+        rank = F.row_number().over(W.partitionBy("_id").orderBy("_o", "_url", rest))
+        first = keyed.withColumn("_rank", rank).where("_rank = 1")
+        return first.unionByName(named.where("_id IS NULL").withColumn("_rank", F.lit(1))).select(*df.columns)
     # rows with the same id and URL share their fate with the first of them
     open_rows = named.where("_id IS NOT NULL").groupBy("_id", "_url").agg(F.min("_o").alias("_o")).select(
         F.struct("_o", "_id", "_url").alias("r"))
@@ -99,7 +110,7 @@ def dedupe_id_or_url(
     for kept in kept_rounds[1:]:
         winners = winners.unionByName(kept)
     winners = winners.select("r.*")
-    alike = W.partitionBy("_o", "_id", "_url").orderBy(F.xxhash64(*(f.name for f in df.schema.fields if f.dataType.typeName() != "map")))
+    alike = W.partitionBy("_o", "_id", "_url").orderBy(rest)
     kept = named.join(winners, ["_o", "_id", "_url"], "left_semi").withColumn("_rank", F.row_number().over(alike)).where("_rank = 1")
     return kept.unionByName(named.where("_id IS NULL").withColumn("_rank", F.lit(1))).select(*df.columns)
 

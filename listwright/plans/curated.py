@@ -41,6 +41,21 @@ def curate(
     return min_date_posted(curated, min_date) if min_date else curated
 
 
+# format -> function (listings, folder and file prefix, site, export time)
+Exporter = Callable[[DataFrame, str, Site, Column], object]
+
+EXPORTERS: dict[str, Exporter] = {
+    "csv": lambda listings, path, site, exported_at: write_csv(listings, f"{path}_listings_csv"),
+    "json": lambda listings, path, site, exported_at: write_json_lines(listings, f"{path}_listings_json", site.domain, exported_at),
+}
+FORMATS = {"both": ("csv", "json")}
+
+
+def register_exporter(name: str, export: Exporter) -> None:
+    """Add a custom export format for :func:`run`."""
+    EXPORTERS[name] = export
+
+
 def counted_curation(
     listings: DataFrame, min_date: str | None = None, key: str | list[str] = "listing_id"
 ) -> tuple[DataFrame, Callable[[], list[tuple[str, int, int]]]]:
@@ -128,6 +143,7 @@ def run(
 ) -> RunResult | None:
     """Curate, validate and export.
 
+    ``export_format`` is csv, json, both or the name of a registered exporter.
     The curated table is written once (``out/curated``) and every later step
     reads that copy, so extraction runs once.  Returns None when no listing is
     left after the date filter.
@@ -141,9 +157,7 @@ def run(
     rows = report_rows(listings, extra_rules)
     document = report_document(rows, {"min_date_posted": min_date} if min_date else None, extra_rules)
     if not dry_run:
-        if export_format in ("csv", "both"):
-            write_csv(listings, f"{out}/{site.file_prefix}_listings_csv")
-        if export_format in ("json", "both"):
-            write_json_lines(listings, f"{out}/{site.file_prefix}_listings_json", site.domain, exported_at)
+        for name in FORMATS.get(export_format, (export_format,)):
+            EXPORTERS[name](listings, f"{out}/{site.file_prefix}", site, exported_at)
         write_report(document, f"{out}/summary_report_{site.file_prefix}")
     return RunResult(listings, quality_issues(listings, extra_rules), quality_summary(listings, extra_rules), document)

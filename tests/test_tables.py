@@ -46,6 +46,15 @@ def test_dedupe_repeated_order_numbers(spark, seed):
     assert sorted(map(tuple, curate.dedupe_id_or_url(df).collect())) == want
 
 
+def test_dedupe_where_ids_follow_from_urls(spark, monkeypatch):
+    rnd = random.Random(9)
+    urls = [rnd.choice(["u-hot", "", None, *(f"u{i}" for i in range(30))]) for _ in range(200)]
+    rows = [(n, f"i{abs(hash(u)) % 7}" if u else rnd.choice(["only-id", "", None]), u) for n, u in enumerate(urls)]
+    monkeypatch.setattr(curate, "cut_lineage", None)  # no rounds
+    df = spark.createDataFrame(rows, "seq long, listing_id string, listing_url string").repartition(5)
+    assert sorted(r.seq for r in curate.dedupe_id_or_url(df).collect()) == sequential_dedupe(rows)
+
+
 def test_dedupe_long_chain(spark, monkeypatch):
     rounds = []
 

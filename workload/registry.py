@@ -771,6 +771,36 @@ def json_roundtrip(spark, sf_dir):
     return back.withColumn("image_urls", F.array_join("image_urls", "|"))
 
 
+@query
+def report_file(spark, sf_dir):
+    """The report with an extra rule, written to its file and read back."""
+    extra = [quality.Rule("tiny_surface", F.col("surface") < 9, 1)]
+    rows = report.report_rows(categorised(spark, sf_dir), extra)
+    path = scratch_path(spark, "report")
+    export.write_report(report.report_document(rows, None, extra), path)
+    return spark.read.json(path).select("total_listings", "price_stats.median_price", "validation.tiny_surface", "validation.total_issues", "validation.quality_score", "image_stats.total_images")
+
+
+def _titles(pages: DataFrame, site, validate: bool = True, **_) -> DataFrame:
+    """A custom extractor: title and link count of any page."""
+    doc = document.with_document(pages)
+    return doc.select(
+        F.col("page_id").alias("seq"), F.lit(site.domain).alias("source"), F.md5("url").alias("listing_id"), F.col("url").alias("listing_url"),
+        common.page_title(F.col("pieces"), F.col("elements"), site, False).alias("title"), F.lit(None).cast("double").alias("price_numeric"),
+        F.array().cast("array<string>").alias("image_urls"), F.lit(None).cast("map<string,string>").alias("criteria"))
+
+
+@query
+def custom_profile(spark, sf_dir):
+    """A run over the given pages with a custom extractor and a custom export format."""
+    curated_plan.register_profile("titles", _titles, CLASSIFIEDS)
+    curated_plan.register_exporter("titles", lambda listings, path, site, exported_at: listings.select("seq", "listing_id", "title").write.parquet(f"{path}_titles"))
+    rows = curated_plan.curate(table(spark, sf_dir, "pages"), "titles")
+    path = scratch_path(spark, "custom")
+    curated_plan.EXPORTERS["titles"](rows, f"{path}/{CLASSIFIEDS.file_prefix}", CLASSIFIEDS, as_of())
+    return spark.read.parquet(f"{path}/{CLASSIFIEDS.file_prefix}_titles")
+
+
 # --- streams ------------------------------------------------------------------------------------------
 
 
