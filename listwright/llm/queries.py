@@ -22,7 +22,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_texts(table(spark, sf_dir, "documents"), byte_bpe())
+    return packing.pack_texts(table(spark, sf_dir, "documents"), byte_bpe(), cached=600_000)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

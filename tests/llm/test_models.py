@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from listwright.llm import langid, sharding, simhash, topk
-from listwright.llm.queries import ORACLE, QUERIES, SHARDS
+from listwright.llm import bpe, langid, packing, pii, quality_rules, runs, secret_scan, sharding, simhash, spotsigs, token_counts, topk
+from listwright.llm.queries import ORACLE, QUERIES, SHARDS, byte_bpe
 
 SF = "/root/testdata/sf0.001"
 
@@ -331,6 +331,18 @@ def test_queries_run_over_whole_tables(spark, name):
         assert rows
 
 
+def test_any_column_names(spark):
+    """Keys and texts whose names hold dots and quotes, beside columns named like inner ones."""
+    docs = spark.createDataFrame([(1, "the token = abcdefgh of a@b.c", "en"), (2, None, "en"), (None, "the word of it", "en")], "`a.k` long, `t``x.y` string, `l.g` string")
+    docs = docs.selectExpr("*", "1 AS key", "2 AS text", "3 AS row", "4 AS fp", "5 AS n")
+    k, t = "a.k", "t`x.y"
+    path = byte_bpe()
+    for rows in (bpe.digests(docs, path, k, t), token_counts.token_counts(docs, path, k, t), packing.pack_texts(docs, path, k, t), secret_scan.summary(docs, k, t), simhash.near_duplicates(docs, k, t),
+                 simhash.keep_first(docs, k, t), pii.summary(docs, k, t), pii.redact(docs, t), spotsigs.edited_likeness(docs, k, t), spotsigs.similar(docs, k, t), runs.digests(runs.planted(docs, k, t), k, t),
+                 quality_rules.summary(docs, k, t), langid.identify(docs, langid.train(docs, t, "l.g"), t)):
+        assert rows.count() >= 3 and (k in rows.columns)
+
+
 @pytest.mark.parametrize("name", ORACLE)
 def test_queries_equal_their_sql(spark, name):
     import duckdb

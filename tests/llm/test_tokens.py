@@ -40,13 +40,13 @@ def ids_of(packed: bytes) -> list[int]:
 @settings(max_examples=300, deadline=None)
 @given(st.text() | st.text(alphabet="thersanding 'lo.0é\n", max_size=60))
 def test_the_packings_encoder_is_the_same(library, text):
-    packer = worker.kept(("test", "packing"), lambda: packing.Encoder(byte_bpe()))
+    packer = worker.kept(("test", "packing"), lambda: packing.Encoder(byte_bpe(), 1000))
     assert ids_of(packer.encode(text)) == library.encode(text, add_special_tokens=False).ids
 
 
 def test_the_packings_encoder_checks_the_librarys_result(own):
     """Whatever the library gives, tokens that don't fit are encoded anew."""
-    packer = packing.Encoder(byte_bpe())
+    packer = packing.Encoder(byte_bpe(), 1000)
     text = "The thandering of unthinkable sentences " + "x" * 500
     packer.merge = lambda piece: [own.rank[c] for c in piece.encode().decode("latin-1")]
     assert packer.encode(text) == own.encode(text)
