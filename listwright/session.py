@@ -51,9 +51,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/listwright/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder.
+
+    Tables there are needed as long as results made from them are;
+    :func:`clear_scratch` deletes them afterwards.
+    """
+    path = f"{shared_dir(spark)}/listwright/{purpose}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has made; gives their number.
+
+    Call it when their results have been written.
+    """
+    paths, jvm = _scratch[:], spark._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _scratch.remove(path)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from listwright import session
 from listwright.operators.export import criteria_keys, flatten, write_csv
 from listwright.operators.quality import Rule
 from listwright.operators.store import ListingStore
@@ -162,3 +163,10 @@ def test_pages_of_searches(spark):
     urls = ["https://p.example/fr/sc/villas:p:2", "https://p.example/fr/sc/villas/nord/12?x#y", "https://p.example/fr/sc/villas/sud/", "https://p.example/fr/sc/villas-2", None, "", "https://p.example/fr/sc/villas/nord"]
     found = {r.k: r.search_id for r in with_search(spark.createDataFrame(list(enumerate(urls)), "k long, url string"), searches, "k").collect()}
     assert found == {0: 1, 1: 2, 2: 1, 3: None, 4: None, 5: None, 6: 2}
+
+
+def test_scratch_tables_are_deleted(spark):
+    session.clear_scratch(spark)
+    paths = [session.scratch_path(spark, "x") for _ in range(2)]
+    spark.range(3).write.parquet(paths[0])
+    assert session.clear_scratch(spark) == 2 and not os.path.exists(paths[0]) and session.clear_scratch(spark) == 0
