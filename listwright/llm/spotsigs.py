@@ -27,12 +27,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listwright.llm import worker
 from listwright.llm.components import components
+from listwright.llm.frequent import frequent
 from listwright.session import cut_lineage
 
 # Common words of English, French, German and Spanish prose.
@@ -112,7 +113,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     # a class is named by a digest of its set, so that a null or repeated key names none
     digest = F.xxhash64("signatures")
     sets = cut_lineage(rows.groupBy("signatures").agg(F.min("key").alias("least")).withColumn("id", digest))
-    found = links(sets.where(F.size("signatures") > 0), threshold)
+    found = cut_lineage(links(sets.where(F.size("signatures") > 0), threshold))
     node = components(found).withColumnRenamed("component", "root")
     counts = found.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     named = sets.select("id", "least").join(node, F.col("id") == F.col("node"), "left").select("id", "least", F.coalesce("root", "id").alias("root"))
@@ -126,27 +127,49 @@ def _length_part(n: Column, threshold: float) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(-math.log(threshold)) if threshold < 1 else n.cast("double")).cast("int")
 
 
-def links(sets: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between sets (id, signatures) of likeness of at least `threshold`."""
-    n = F.size("signatures")
-    counted = sets.select("id", F.explode("signatures").alias("s"))
-    frequency = counted.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    # rarest signatures first: a match must share one of the first n - ceil(t * n) + 1
-    ordered = counted.join(frequency, "s").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("ranked"))
-    base = sets.select("id", "signatures", n.alias("n"), _length_part(n, threshold).alias("part"))
-    rare = ordered.select("id", F.posexplode(F.slice(F.col("ranked.s"), F.lit(1), F.size("ranked") - F.ceil(F.size("ranked") * threshold - 1e-9).cast("int") + 1)).alias("at", "s"))
-    entry = rare.join(base.select("id", "n", "part"), "id")
-    left = entry.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("i"), "s", "part")
-    right = entry.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("j"), "s", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
+def _common(sets: DataFrame, min_share: float) -> dict[int, int]:
+    """Place of the signatures with `min_share` of all, the most frequent last; a bounded table."""
+    written = sets.select(F.array_join(F.col("signatures").cast("array<string>"), " ").alias("text"))
+    found = frequent(written, "text", str.split, min_share, int(2 / min_share))
+    return {int(s): len(found) - i for i, s in enumerate(found)}
+
+
+def links(sets: DataFrame, threshold: float, min_share: float = 1e-5) -> DataFrame:
+    """Links (a, b) between sets (id, signatures) of likeness of at least `threshold`.
+
+    The order of signatures is that of their hashes, but for the most frequent
+    ones (`min_share` of all), which come last. A match must share one of each
+    set's first n - ceil(t * n) + 1 in any order, so the order decides nothing
+    but how many sets meet. Signatures that no other set has among its first
+    ones are left out before the sets are joined.
+    """
+    late = sets.sparkSession.sparkContext.broadcast(_common(sets, min_share))
+
+    def first(batches):
+        places = late.value
+        for batch in batches:
+            out = []
+            for name, own in zip(batch.column("id").to_pylist(), batch.column("signatures")):
+                ranked = sorted(own.as_py(), key=lambda s: (places.get(s, 0), s))
+                n = len(ranked)
+                out += [(name, n, i, s) for i, s in enumerate(ranked[:n - math.ceil(n * threshold - 1e-9) + 1])]
+            columns = list(zip(*out)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=["id", "n", "at", "s"])
+
+    entry = sets.select("id", "signatures").mapInArrow(first, "id long, n int, at int, s long")
+    shared = entry.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("s"))).where("sets > 1").drop("sets")
+    shared = cut_lineage(shared.withColumn("part", _length_part(F.col("n"), threshold)))
+    left = shared.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("i"), "s", "part")
+    right = shared.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("j"), "s", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
     met = left.join(right, ["s", "part"]).where(
         (F.col("nb") < F.col("na")) & (F.col("nb") >= F.col("na") * threshold - 1e-9) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     # behind the first shared signature no more can be shared than either set has left
     most = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))
     met = met.where(most >= (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9)
     pairs = met.select("a", "b").distinct()
-    both = pairs.join(base.select(F.col("id").alias("a"), F.col("signatures").alias("sa")), "a").join(base.select(F.col("id").alias("b"), F.col("signatures").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared / (F.size("sa") + F.size("sb") - shared) >= threshold - 1e-12).select("a", "b")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("signatures").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("signatures").alias("sb")), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.where(common / (F.size("sa") + F.size("sb") - common) >= threshold - 1e-12).select("a", "b")
 
 
 def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", chain: int = 2, rows_per_range: int = 10_000) -> DataFrame:
