@@ -153,13 +153,19 @@ def listing_id(url: Column, elements: Column, site: Site = CLASSIFIEDS) -> Colum
     return F.coalesce(match(url, r"/ad/([0-9]+)", 1), from_path, *in_page, stable_id(url, site.hash_prefix))
 
 
-def price(pieces: Column, elements: Column, strict: bool = False) -> Column:
-    """Struct (price_raw, price_numeric, currency)."""
-    element = _first_rule(
+_PRICED = rf"(?iu)({AMOUNT})[{SPACE_CLASS}]*(TND|DT|dt|€|EUR|\$|USD)"
+
+
+def _price_element(elements: Column, strict: bool) -> Column:
+    return _first_rule(
         elements, ("span", "div", "p", "strong"), PRICE_CLASS,
         (attr_equals("itemprop", "price"), attr_matches("data-testid", "price")), strict,
     )
-    amount = rf"(?iu)({AMOUNT})[{SPACE_CLASS}]*(TND|DT|dt|€|EUR|\$|USD)"
+
+
+def price(pieces: Column, elements: Column, strict: bool = False) -> Column:
+    """Struct (price_raw, price_numeric, currency)."""
+    element = _price_element(elements, strict)
 
     def from_element(text: Column) -> Column:
         return F.struct(
@@ -171,12 +177,12 @@ def price(pieces: Column, elements: Column, strict: bool = False) -> Column:
     def from_match(found: Column) -> Column:
         return F.struct(
             F.coalesce(found, na()).alias("price_raw"),
-            number_plain(F.regexp_extract(found, amount, 1)).alias("price_numeric"),
-            F.coalesce(currency_code(F.regexp_extract(found, amount, 2)), F.lit("TND")).alias("currency"),
+            number_plain(F.regexp_extract(found, _PRICED, 1)).alias("price_numeric"),
+            F.coalesce(currency_code(F.regexp_extract(found, _PRICED, 2)), F.lit("TND")).alias("currency"),
         )
 
     def from_page(text: Column) -> Column:
-        return let(match(text, amount), from_match)
+        return let(match(text, _PRICED), from_match)
 
     def choose(text: Column) -> Column:
         return F.when(text.isNotNull(), from_element(text)).otherwise(let(F.array_join(pieces, ""), from_page))
@@ -184,6 +190,20 @@ def price(pieces: Column, elements: Column, strict: bool = False) -> Column:
     return let(text_of(pieces, element), choose)
 
 
+def price_readings(pieces: Column, elements: Column, strict: bool = False) -> Column:
+    """Struct (digits, plain, differ): the price element read by both rules.
+
+    An element's digits are all joined, a text's number keeps its decimals;
+    ``differ`` marks the listings whose price depends on the rule, such as
+    ``250.50 DT``.
+    """
+    def read(text: Column) -> Column:
+        both = F.struct(number_of_digits(text).alias("digits"), number_plain(F.regexp_extract(text, _PRICED, 1)).alias("plain"))
+        return let(both, lambda b: F.struct(b["digits"].alias("digits"), b["plain"].alias("plain"), F.coalesce(b["digits"] != b["plain"], F.lit(False)).alias("differ")))
+
+    return let(text_of(pieces, _price_element(elements, strict)), read)
+
+
 def category(pieces: Column, elements: Column, url: Column) -> Column:
     """Last breadcrumb link, else data-category, else a key word in the URL."""
     trail = find(elements, "nav", "ol", "ul", where=attr_matches("class", "breadcrumb"))

@@ -270,6 +270,11 @@ for _name, (_profile, *_columns) in EXTRACTIONS.items():
     ORACLE[_name] = expected(_profile, list(_columns) or None, validate=not _columns)
 ORACLE["next_data"] = f"""SELECT seq, listing_id, title, price_raw, price_numeric, location_raw, date_posted
  FROM ({expected('classifieds', validate=False)}) WHERE seq % 5 = 0 AND seq % 35 NOT IN (0, 5)"""
+
+_SHOWN = "x49 <> 2 AND x7 <> 2"  # the price stands in an element
+ORACLE["price_readings"] = f"""SELECT k AS seq, CAST(CASE WHEN {_SHOWN} THEN CASE x4 WHEN 1 THEN amount * 1000 WHEN 2 THEN amount * 100 + 50 ELSE amount END END AS DOUBLE) AS digits,
+ CAST(CASE WHEN {_SHOWN} THEN CASE x4 WHEN 0 THEN amount WHEN 1 THEN amount * 1000 WHEN 2 THEN amount + 0.5 END END AS DOUBLE) AS plain,
+ {_SHOWN} AND x4 = 2 AS differ FROM ({FACTS})"""
 ORACLE["section_slice"] = """SELECT o_orderkey AS seq,
  concat('Type de bien|Appartement|État|Neuf|Étage du bien|', o_orderkey % 12, '|État|Ancien') AS section FROM orders"""
 ORACLE["options"] = """SELECT o_orderkey AS seq, CASE o_orderkey % 3 WHEN 0 THEN 'Piscine|Meuble|Garage' WHEN 1 THEN 'Vue dégagée' ELSE '' END

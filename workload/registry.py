@@ -566,6 +566,13 @@ def next_data(spark, sf_dir):
     )
 
 
+@query
+def price_readings(spark, sf_dir):
+    """Price elements read by both rules, and whether these differ."""
+    doc = document.with_document(detail_pages(spark, sf_dir, "classifieds").select("seq", "html"))
+    return doc.select("seq", classifieds.price_readings(F.col("pieces"), F.col("elements")).alias("r")).select("seq", "r.digits", "r.plain", "r.differ")
+
+
 @query
 def section_slice(spark, sf_dir):
     doc = document.with_document(detail_pages(spark, sf_dir, "portal").select("seq", "html"))
