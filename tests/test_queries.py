@@ -18,7 +18,7 @@ COMPARED = [
     "extract_p1", "extract_p2", "extract_p3", "links_p1", "has_next", "crawl_extent", "links_join_pages", "seed_urls",
     "page_urls", "csv_roundtrip", "json_roundtrip", "stream_extract", "stream_dedupe", "stream_merge",
     "store_upsert_read", "store_lookup_stored", "union_scoped", "scheduled_run", "step_counts", "flatten_open", "crawl_sample", "crawl_listings",
-    "portal_searched", "report_file", "custom_profile",
+    "portal_searched", "report_file", "custom_profile", "json_envelope", "price_readings",
 ]
 
 

@@ -384,6 +384,7 @@ ORACLE["page_urls"] = f"""WITH s AS (SELECT search_id, {_START} AS start_url, un
 ORACLE["csv_roundtrip"] = f"""SELECT listing_id, title, price_numeric, city, governorate, description, date_posted, seq AS n,
  {_FLAT_EXTRA.replace('to_json([listing_url])', 'CAST(to_json([listing_url]) AS VARCHAR)')}, CAST(surface AS VARCHAR) AS criteria_surface FROM ({L})"""
 ORACLE["json_roundtrip"] = f"""SELECT listing_id, title, price_numeric, city, governorate, image_count, listing_id AS image_urls FROM ({L})"""
+ORACLE["json_envelope"] = f"SELECT seq, listing_id, title, price_numeric, image_count, listing_id AS image_urls FROM ({L})"
 ORACLE["report_file"] = f"""SELECT total_listings, (SELECT median_price FROM ({ORACLE['price_stats']})) AS median_price, tiny_surface, total_issues, quality_score,
  (SELECT total_images FROM ({ORACLE['image_stats']})) AS total_images FROM ({_summary(LC, "surface < 9")})"""
 ORACLE["custom_profile"] = f"""SELECT page_id AS seq, md5(url) AS listing_id, {_H1} AS title FROM pages

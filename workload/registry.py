@@ -778,6 +778,18 @@ def json_roundtrip(spark, sf_dir):
     return back.withColumn("image_urls", F.array_join("image_urls", "|"))
 
 
+@query
+def json_envelope(spark, sf_dir):
+    """Exports as documents {metadata, listings}, a thousand listings each, read back as listings."""
+    rows = listings(spark, sf_dir).select("seq", "listing_id", "title", "price_numeric", "image_count").withColumn("image_urls", F.array("listing_id"))
+    groups = rows.groupBy(F.expr("seq div 1000").alias("batch")).agg(F.collect_list(F.struct(*rows.columns)).alias("listings"))
+    metadata = F.struct(F.lit("2024-06-01T00:00:00").alias("export_timestamp"), F.size("listings").cast("long").alias("total_listings"), F.lit("listings.example").alias("source"))
+    path = scratch_path(spark, "envelopes")
+    groups.select("batch", F.to_json(F.struct(metadata.alias("metadata"), "listings")).alias("value")).write.partitionBy("batch").text(path)
+    back = exports.read_json_envelope(spark, path, rows.schema)
+    return back.withColumn("image_urls", F.array_join("image_urls", "|"))
+
+
 @query
 def report_file(spark, sf_dir):
     """The report with an extra rule, written to its file and read back."""
