@@ -36,6 +36,7 @@ from listwright.llm import worker
 LEAST_WORDS = 6
 LEAST_PERIODS = 4
 GROUP_WORDS = 1 << 17  # texts are worked on together up to so many words
+CANDIDATES = 1 << 20  # periods compared together
 RUNS = "array<struct<start:int,length:int,period:int>>"
 
 
@@ -175,15 +176,15 @@ def _stretch(ids: np.ndarray, at: int, q: int, low: int, high: int) -> tuple[int
 def _crossing(ids: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number of the node, (start, end, period)) of runs across the boundaries of nodes."""
     owners, found = [], []
-    size = nodes[:, 2] - nodes[:, 0]
-    chunk = 1 << 20
-    most = size // LEAST_PERIODS
+    most = (nodes[:, 2] - nodes[:, 0]) // LEAST_PERIODS
     before = np.concatenate([[0], np.cumsum(most)])
-    at = 0
-    while at < len(nodes):
-        stop = max(at + 1, int(np.searchsorted(before, before[at] + chunk, side="right")) - 1)
-        node = np.repeat(np.arange(at, stop), most[at:stop])
-        q = np.arange(len(node)) - (before[node] - before[at]) + 1
+    last, known = -1, []
+    # so many (node, period) at a time, those of a large node in several turns
+    for at in range(0, int(before[-1]), CANDIDATES):
+        end = min(at + CANDIDATES, int(before[-1]))
+        first, stop = int(np.searchsorted(before, at, side="right")) - 1, int(np.searchsorted(before, end, side="left"))
+        node = np.repeat(np.arange(first, stop), np.minimum(before[first + 1:stop + 1], end) - np.maximum(before[first:stop], at))
+        q = np.arange(at, end) - before[node] + 1
         low, middle, high = nodes[node, 0], nodes[node, 1], nodes[node, 2]
         # two periods behind the boundary, or two before it
         behind = np.flatnonzero(middle + 2 * q <= high)
@@ -199,7 +200,6 @@ def _crossing(ids: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarra
         side = np.concatenate([np.zeros(len(behind), np.int64), np.ones(len(ahead), np.int64)])
         both = np.concatenate([behind, ahead])
         order = np.lexsort((side, both))
-        last, known = -1, []
         for s, i in zip(side[order].tolist(), both[order].tolist()):
             n, p = int(node[i]), int(q[i])
             if n != last:
@@ -208,13 +208,12 @@ def _crossing(ids: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarra
             # a multiple of a smaller period within that one's run is no smallest period
             if any(start <= mid and end >= mid + 2 * p for start, end, _ in known) if s == 0 else any(end >= mid and start <= mid - 2 * p for start, end, _ in known):
                 continue
-            start, end = _stretch(ids, mid if s == 0 else mid - p, p, lo, hi)
-            if end - start >= 2 * p and not any(start >= a and end <= b and p % k == 0 for a, b, k in known):
-                known.append((start, end, p))
-                if end - start >= max(LEAST_WORDS, LEAST_PERIODS * p):
+            start, stretch = _stretch(ids, mid if s == 0 else mid - p, p, lo, hi)
+            if stretch - start >= 2 * p and not any(start >= a and stretch <= b and p % k == 0 for a, b, k in known):
+                known.append((start, stretch, p))
+                if stretch - start >= max(LEAST_WORDS, LEAST_PERIODS * p):
                     owners.append(n)
-                    found.append((start, end, p))
-        at = stop
+                    found.append((start, stretch, p))
     return np.array(owners, dtype=np.int64), np.array(found, dtype=np.int64).reshape(-1, 3)
 
 

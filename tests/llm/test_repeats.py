@@ -47,9 +47,11 @@ def random_words(rng):
     return words * rng.choice([1, 1, 1, 2, 5])
 
 
-def test_random_texts():
+@pytest.mark.parametrize("candidates", [1 << 20, 7])
+def test_random_texts(monkeypatch, candidates):
+    monkeypatch.setattr(runs, "CANDIDATES", candidates)
     rng = random.Random(3)
-    for _ in range(400):
+    for _ in range(400 if candidates > 7 else 150):
         group = [random_words(rng) for _ in range(rng.randint(1, 5))]
         for words, (n, found, collapsed) in zip(group, runs._found(" \n".join(w) for w in group)):
             assert n == len(words) and found == plain_runs(words), words
