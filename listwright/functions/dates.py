@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listwright.functions.text import SPACE_CLASS, let, strip
 
+# --- fixed values: shapes of written dates ---
 _CLOCK = r"(?:[01][0-9]|2[0-3])(?::[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]+)?)?|[0-5][0-9](?:[0-5][0-9](?:[.,][0-9]+)?)?)?"
 _OFFSET = r"(?:Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:[.,][0-9]+)?)?)?)?"
 _TIME_PART = rf"(?:(?s:.){_CLOCK}{_OFFSET})?$"
@@ -71,6 +72,7 @@ def parse_french(c: Column) -> Column:
 
 
 # unit word in normalised French text -> days per unit
+# --- fixed values: days of relative time words ---
 _RELATIVE_DAYS = {"jours?": 1, "semaines?": 7, "mois": 30, "heures?": 0}
 
 
