@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -93,16 +94,18 @@ def run_to_table(df: DataFrame, out: str, checkpoint: str) -> DataFrame:
 
 
 def stream_merge(
-    listings: DataFrame, store: ListingStore, as_of: Column, checkpoint: str, flavour: str = "narrow", name: str = "stream"
+    listings: DataFrame, store: ListingStore, as_of: Column, checkpoint: str, flavour: str = "narrow"
 ) -> StreamingQuery:
     """Upsert every micro-batch into the store.
 
-    The number of the batch is committed with its rows under ``name``, so a
-    batch that is played again after a failure, or after a restart from the
-    checkpoint, changes nothing.
+    The number of the batch is committed with its rows under the stream's id,
+    which the checkpoint keeps, so a batch that is played again after a failure,
+    or after a restart from the checkpoint, changes nothing.  A new checkpoint
+    is a new stream, whose batches count from the start.
     """
     def apply(batch: DataFrame, epoch: int) -> None:
-        store.upsert(batch, as_of, flavour, run=(name, {"epoch": epoch + 1}))
+        stream = json.loads(store.spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        store.upsert(batch, as_of, flavour, run=(f"stream {stream}", {"epoch": epoch + 1}))
 
     return (
         listings.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

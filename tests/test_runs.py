@@ -136,9 +136,13 @@ def test_streams_restart_and_count(spark, tmp_path):
         intake.stream_merge(stream, keep, stamp, str(tmp_path / "checkpoint")).awaitTermination()
     versions = keep.versions()
     assert {(r.listing_id, r.description) for r in keep.table().collect()} == {("a", "d2"), ("b", "d1"), ("c", "d1")}
-    assert keep.runs() == {"stream": {"epoch": 3}}
-    keep.upsert(spark.read.parquet(str(tmp_path / "in")).withColumn("description", F.lit("again")), stamp, run=("stream", {"epoch": 3}))
+    ((name, done),) = keep.runs().items()
+    assert done == {"epoch": 3}
+    keep.upsert(spark.read.parquet(str(tmp_path / "in")).withColumn("description", F.lit("again")), stamp, run=(name, done))
     assert keep.versions() == versions
+    # a new checkpoint is a new stream
+    intake.stream_merge(intake.read_stream(spark, str(tmp_path / "in")), keep, stamp, str(tmp_path / "other")).awaitTermination()
+    assert len(keep.runs()) == 2 and keep.versions() == [*versions, versions[-1] + 1]
     deadline = time.time() + 20
     while counts.rows.get("arrived", 0) < 5 and time.time() < deadline:
         time.sleep(0.2)
