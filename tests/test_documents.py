@@ -1,7 +1,10 @@
+import time
+from itertools import accumulate
+
 from pyspark.sql import functions as F
 
 from listwright.operators import document as d
-from listwright.operators import links
+from listwright.operators import links, reader
 from listwright.plans import classifieds, portal
 from listwright.settings import PORTAL
 
@@ -91,3 +94,35 @@ def test_portal_location_without_parts(spark):
     got = [tuple(r.p) for r in df.select(portal.split_place(F.col("raw")).alias("p")).collect()]
     assert got == [(None, None, None), ("Tunis", None, None), ("Sfax", "Sfax", "Nord"), ("C", "C", "A")]
     assert PORTAL.base_url
+
+
+def test_ordinary_markup_is_read_without_the_parser_and_the_same():
+    ordinary = [
+        "", "text only &amp; more", "<p>", "</p>a<br/>b", "<p> </p><pre> </pre><div><b>x</b></div>",
+        '<!DOCTYPE html><!-- c --><div CLASS=" a  b " id=\'q\' hidden>caf&eacute;&#1;<img src="/a?b=1&amp;c"></DIV>',
+        '<script>var t="</p> 9";</script><style>p{}</style><template>no<i>t</i></template><title>T &amp; U</title>tail &',
+        "<ul><li>a<li>b</ul></li><td><a-b x:y=\"1>2\">z</a-b>",
+    ]
+    odd = ["<a href=x>y</a>", "a < b", "<![CDATA[x]]>", "<script>a<!--b--></script>", "<textarea><b></textarea>", "<", "<p x=\"", "</ p>", "<?x?>"]
+
+    def by_parser(html, kept):
+        page = reader.PageReader(html, kept)
+        return page.pieces, [tuple([row[0], list(row[1].items()), *row[2:]]) for row in page.rows]
+
+    def by_columns(columns):
+        pieces, tags, keys, values, sizes, *spans = columns
+        pairs, at = list(zip(keys, values)), [0, *accumulate(sizes)]
+        return pieces, [(tag, pairs[at[i]:at[i + 1]], *(span[i] for span in spans)) for i, tag in enumerate(tags)]
+
+    for kept in (None, d.RULE_ATTRIBUTES):
+        for html in ordinary:
+            assert by_columns(reader.read_plain(html, kept)) == by_parser(html, kept), html
+        for html in odd:
+            assert reader.read_plain(html, kept) is None, html
+            assert by_columns(reader.read_page(html, kept)) == by_parser(html, kept), html
+
+
+def test_long_text_before_odd_markup_is_passed_once():
+    start = time.perf_counter()
+    assert reader.read_plain("x " * 500_000 + "< y" + " z" * 500_000, None) is None
+    assert time.perf_counter() - start < 5
