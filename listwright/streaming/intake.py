@@ -17,7 +17,12 @@ from listwright.operators.store import ListingStore
 def read_stream(
     spark: SparkSession, directory: str, pattern: str = "*.parquet", files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Parquet files of a directory as a stream; schema from the present files."""
+    """Parquet files of a directory as a stream; schema from the present files.
+
+    ``pattern`` is for the names of files.  A table that may be one file or a
+    folder of files is named by a glob as ``directory``: Spark streams a plain
+    path only if it is a folder.
+    """
     present = spark.read.option("pathGlobFilter", pattern).parquet(directory)
     reader = spark.readStream.schema(present.schema).option("pathGlobFilter", pattern)
     if files_per_trigger:

@@ -174,3 +174,12 @@ def test_scratch_tables_are_deleted(spark):
     paths = [session.scratch_path(spark, "x") for _ in range(2)]
     spark.range(3).write.parquet(paths[0])
     assert session.clear_scratch(spark) == 2 and not os.path.exists(paths[0]) and session.clear_scratch(spark) == 0
+
+
+def test_pages_stream_from_a_file_and_from_a_folder(spark, tmp_path):
+    from workload.registry import QUERIES
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    pages.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    for folder in (str(tmp_path), "/root/testdata/sf0.001"):
+        assert QUERIES["stream_extract"](spark, folder).count() == pages.count()
