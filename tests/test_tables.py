@@ -338,3 +338,16 @@ def test_crawl_equals_reading_page_by_page(spark, seed):
     got = crawl.crawl_listings(rows, pages, max_pages=7, stop_without_news=True).collect()
     want = {(c, n, u) for c, ps in crawls.items() for n, u in sequential_crawl(ps, 7, True)}
     assert {(r.crawl_id, r.page_no, r.listing_url) for r in got} == want
+
+
+def test_rounds_of_the_id_or_url_dedupe_leave_no_spent_tables(spark):
+    from listwright import session
+
+    rows = [(n, f"i{n // 2}", f"u{(n + 1) // 2}") for n in range(40)]
+    df = spark.createDataFrame(rows, "seq long, listing_id string, listing_url string")
+    before = set(session._scratch)
+    kept = curate.dedupe_id_or_url(df)
+    assert sorted(r.seq for r in kept.collect()) == list(range(0, 40, 2))
+    made = [path for path in session._scratch if path not in before]
+    # the kept rows of each round, and the empty rest
+    assert made and sum(spark.read.parquet(path).count() for path in made) == 20
