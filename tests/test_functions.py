@@ -92,3 +92,10 @@ def test_resolve_url_like_the_standard_library(spark):
     refs = ["a/b", "/a/../b", "?q=1", "#f", "", "//h/x", "mailto:x", "http://z/y", "../a", "./a/./b/..", "/x/?a=../b", "/a#b"]
     df = spark.createDataFrame([(r,) for r in refs], "t string").select("t", urls.resolve_url(F.col("t"), base).alias("u"))
     assert {r.t: r.u for r in df.collect()} == {r: urljoin(base, r) for r in refs}
+
+
+def test_fold_of_texts_that_stay_or_turn_ascii(one):
+    from listwright.functions.text import ascii_fold
+
+    for given, folded in (("", ""), ("plain", "plain"), ("é²à", "e2a"), ("ﬁn ½ Œ", "fin 12 "), ("日本x", "x"), ("a b", "a b"), (None, None)):
+        assert one(ascii_fold, given) == folded, given
