@@ -3,6 +3,7 @@ from itertools import accumulate
 
 from pyspark.sql import functions as F
 
+from listwright.functions import text
 from listwright.operators import document as d
 from listwright.operators import links, reader
 from listwright.plans import classifieds, portal
@@ -126,3 +127,27 @@ def test_long_text_before_odd_markup_is_passed_once():
     start = time.perf_counter()
     assert reader.read_plain("x " * 500_000 + "< y" + " z" * 500_000, None) is None
     assert time.perf_counter() - start < 5
+
+
+def test_lines_and_labels_of_the_reader_are_those_of_the_expressions(spark):
+    pages = [
+        "", "<p> Prix : 5 \x1f DT </p><p>a\r\nb c</p>", "<h1>Cité «Sud»</h1>\n<p>½ m² ™</p><p>!!</p><p>-  >\t x</p>",
+        "<p>ﬁn</p><a href=x>odd</a><p>İstanbul ß</p>", "<p>¨ x ¨</p><p>🏠 Nord</p>",
+    ]
+    df = spark.createDataFrame([(i, html) for i, html in enumerate(pages)], "i int, html string")
+    for keep in (text.PORTAL_KEEP, text.REFLINE_KEEP):
+        rows = d.with_document(df, keep=keep).select(
+            "lines", "labels", d.text_lines(F.col("pieces")).alias("want_lines"),
+            text.normalise_lines(d.text_lines(F.col("pieces")), keep).alias("want_labels"),
+        ).collect()
+        for row in rows:
+            assert row.lines == row.want_lines and row.labels == row.want_labels
+
+
+def test_only_elements_that_rules_look_at_are_carried(spark):
+    for html in ("<div class=\"c\"><ul><li><a href=\"/x\">a</a></li></ul></div><p id=\"q\">t</p>", "<div class=c><ul><li><a href=/x>a</a></li></ul></div><p id=q>t</p>"):
+        df = spark.createDataFrame([(html,)], "html string")
+        for tags, want in ((frozenset(("a",)), [("a", 0, 1)]), (frozenset(("a", "*")), [("div", 0, 2), ("a", 1, 2), ("p", 2, 3)])):
+            row = d.with_document(df, attributes=frozenset(("class", "id")), tags=tags).first()
+            assert [(e.tag, e.pos, e.end) for e in row.elements] == want
+            assert [e.sole for e in row.elements if e.tag in "ap"] == list(range(len(want) // 2 + 1))[:sum(w[0] in "ap" for w in want)]
