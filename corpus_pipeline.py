@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listwright.llm import langid, packing, pii, simhash
-from listwright.session import scratch_path
+from listwright.session import bounded_batches, scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +20,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Without any labelled document there is no model and all documents stay.
     """
+    bounded_batches(spark)
     model = langid.train(docs)
     if model.languages == [langid.NONE]:
         return docs
@@ -33,6 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without a doc_id stay only where their group has no other, then
     one of them.
     """
+    bounded_batches(spark)
     return simhash.keep_first(docs)
 
 
@@ -43,6 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
+    bounded_batches(spark)
     return packing.pack_texts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

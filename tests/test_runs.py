@@ -183,3 +183,17 @@ def test_pages_stream_from_a_file_and_from_a_folder(spark, tmp_path):
     pages.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
     for folder in (str(tmp_path), "/root/testdata/sf0.001"):
         assert QUERIES["stream_extract"](spark, folder).count() == pages.count()
+
+
+def test_pipeline_stages_bound_the_arrow_batches(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(1, "a b c d e", "en", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    try:
+        for at_first, want in (("10000", "2048"), ("0", "2048"), ("512", "512")):
+            spark.conf.set(name, at_first)
+            corpus_pipeline.pack(spark, docs, "")
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
