@@ -41,3 +41,21 @@ def test_query_equals_oracle(spark, con, name):
     columns = [c[0] for c in relation.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows(df.columns, df.collect()) == rows(columns, relation.fetchall())
+
+
+@pytest.mark.parametrize("profile", ["classifieds", "refline", "portal"])
+def test_pages_are_dealt_out_also_after_a_join_by_shuffle(spark, profile):
+    from pyspark.sql import functions as F
+    from workload.pages import detail_pages
+
+    conf = {"spark.sql.shuffle.partitions": "24", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        parts = detail_pages(spark, SF, profile).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    counts = [r["count"] for r in parts]
+    assert len(counts) == 24 and max(counts) < 2 * min(counts)
