@@ -151,3 +151,20 @@ def test_only_elements_that_rules_look_at_are_carried(spark):
             row = d.with_document(df, attributes=frozenset(("class", "id")), tags=tags).first()
             assert [(e.tag, e.pos, e.end) for e in row.elements] == want
             assert [e.sole for e in row.elements if e.tag in "ap"] == list(range(len(want) // 2 + 1))[:sum(w[0] in "ap" for w in want)]
+
+
+def test_heads_alone_are_the_elements_without_their_texts(spark):
+    pages = [
+        "", "a &amp; b", '<p><a href="/x">t</a><A HREF=\'/y?a&amp;b\' class=" c  d "/><br></p>', "<a href=/odd>z</a><b>", "<a href='>'>q</a> > <a id=1",
+        '<script>"<a href=1>"</script><style><a></style><template><a href="/in"></template><a>', "<textarea><a></textarea>", None,
+    ]
+    kept, tags = frozenset(("href", "class")), frozenset(("a",))
+    for html in pages[:-1]:
+        plain = reader.read_plain(html, kept, tags)
+        assert reader.read_heads(html, kept, tags) == (plain and plain[1:5]), html
+    df = spark.createDataFrame([(i, html) for i, html in enumerate(pages)], "i int, html string")
+    read = [d.with_document(df, attributes=kept, tags=tags, texts=texts).orderBy("i").collect() for texts in (True, False)]
+    for whole, alone in zip(*read):
+        assert alone.pieces == (None if alone.i == len(pages) - 1 else [])
+        assert [e[:3] for e in alone.elements or ()] == [e[:3] for e in whole.elements or ()]
+        assert all(e[3:] == (None,) * 4 for e in alone.elements or ())
