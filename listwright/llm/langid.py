@@ -90,6 +90,7 @@ def train(rows: DataFrame, text: str = "text", language: str = "lang", rows_per_
     sample = labelled.join(F.broadcast(known), F.col("language") == F.col("known")).where("h <= bound").groupBy("language", "h").agg(F.min("text").alias("text"))
 
     def count(frames):
+        worker.only()
         counts: dict[str, np.ndarray] = {}
         for frame in frames:
             for name, t in zip(frame["language"], frame["text"]):
@@ -129,6 +130,7 @@ def priors(rows: DataFrame, model: Model, host: Column, domain: Column, text: st
     names = [f"s{i}" for i in range(n)]
 
     def weigh(batches):
+        worker.only()
         model = pickle.loads(shared.value)
         for batch in batches:
             weights = []
@@ -190,6 +192,7 @@ def identify(
     shared, at = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model)), names.index(text)
 
     def run(batches):
+        worker.only()
         m = pickle.loads(shared.value)
         known = {c: i for i, c in enumerate(m.languages[:-1])}
 

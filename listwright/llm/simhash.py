@@ -230,6 +230,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     whole = docs.select(F.struct(*worker.columns(names)).alias("row"), worker.columns([key])[0].alias("key"))
 
     def tag(batches):
+        worker.only("golay")
         for batch in batches:
             bits = np.array([fingerprint(t, words, seed) for t in worker.texts(batch.column("row").field(at))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits.view(np.int64))], names=["row", "key", "fp"])

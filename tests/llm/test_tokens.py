@@ -163,3 +163,11 @@ def test_pack_under_loss_limits(spark):
     frame = spark.createDataFrame(rows, "doc_id long, ids array<int>, loss array<int>").repartition(2)
     found = packing.pack(frame, "doc_id", max_tokens=700, max_segments=5, max_loss=150).collect()
     check_pieces(found, tokens, 700, 5, 150, loss)
+
+
+def test_a_worker_drops_what_other_purposes_left():
+    worker.kept(("spent", 1), lambda: "a")
+    worker.kept(("used", 1), lambda: "b")
+    worker.only("used")
+    assert worker.kept(("spent", 1), lambda: "made anew") == "made anew"
+    assert worker.kept(("used", 1), lambda: "made anew") == "b"
