@@ -1,3 +1,4 @@
+import random
 import time
 from itertools import accumulate
 
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from listwright.functions import text
 from listwright.operators import document as d
 from listwright.operators import links, reader
-from listwright.plans import classifieds, portal
+from listwright.plans import classifieds, portal, refline
 from listwright.settings import PORTAL
 
 
@@ -168,3 +169,64 @@ def test_heads_alone_are_the_elements_without_their_texts(spark):
         assert alone.pieces == (None if alone.i == len(pages) - 1 else [])
         assert [e[:3] for e in alone.elements or ()] == [e[:3] for e in whole.elements or ()]
         assert all(e[3:] == (None,) * 4 for e in alone.elements or ())
+
+
+ODD_LINES = [
+    "Favori", "5 DT", "5$", "５ ＄ 5", "12 . , eur", "5 euro", "a partir de 1.200,5 usd", "TND 5", "5\tdt", "Prix à consulter !", "prix a consulter",
+    "Nord à Sud", "Nord\u1680À\u2003Sud", "à Sud", "Cité Sud à", "Tunis", "Tunis, Nord", "Sfax , 12 m²", "Nord a\u0300 Sud", "x\u00a0a\u3000y",
+    "12 m2", "3 pièces", "12.5 m", "7 ch", "2 salles de bains", "a", "Garage", "Vue sur mer", "Partager", "Voir la carte", "Contacter l'annonceur",
+    "Caractéristiques générales", "État", "Neuf", "Étage du bien", "4", "Description", "Options", "Premium, x", "Il y a 3 jours", "il y a", "2 semaines",
+    "Publiée le 05/01/24", "Déposée le : 5/1/2024", "İ", "!!", "- - -", "Titre", "5 DT, Nord", "Localisation", "* * *",
+]
+
+
+def odd_pages(spark, n=300):
+    rng = random.Random(4)
+    texts = [["Titre"] * rng.randrange(2) + [rng.choice(ODD_LINES) for _ in range(rng.randrange(30))] for _ in range(n)]
+    rows = [(i, "<h1>Titre</h1>" * (i % 3 > 0) + "".join(f"<p>{line}</p>" for line in lines)) for i, lines in enumerate(texts)]
+    return spark.createDataFrame([*rows, (-1, None)], "i long, html string").withColumn("day", F.lit("2024-06-01").cast("date"))
+
+
+def test_portal_rules_look_at_picked_lines_only_and_find_the_same(spark):
+    kept = d.with_document(odd_pages(spark), keep=text.PORTAL_KEEP, picks=portal.PICKS, joined=("label_text",))
+    lines, labels, at = F.col("lines"), F.col("labels"), F.col("at")
+    title, said = F.lit("Titre"), F.col("label_text")
+    all_text = F.array_join(F.filter(labels, lambda t: t != ""), " ")
+    pairs = {
+        "price": (portal.price(lines, labels, at["priced"]), portal.price(lines, labels)),
+        "place": (portal.place_line(lines, labels, title, None, at["placed"], at["stops"]), portal.place_line(lines, labels, title)),
+        "text": (
+            portal.description(lines, labels, title, 0, at["skipped"], at["options"], at["stops"]), portal.description(lines, labels, title)),
+        "criteria": (portal.criteria(lines, labels, said, at["options"], at["details_end"]), portal.criteria(lines, labels)),
+        "date": (portal.date_posted(said, F.col("day")), portal.date_posted(all_text, F.col("day"))),
+        "label_text": (said, all_text),
+    }
+    rows = kept.select("i", F.size(at["priced"]).alias("n"), F.size("lines").alias("all"), *(
+        c.alias(f"{name}_{way}") for name, ways in pairs.items() for way, c in zip(("picked", "whole"), ways))).collect()
+    for row in rows:
+        for name in pairs:
+            assert row[f"{name}_picked"] == row[f"{name}_whole"], (name, row)
+    assert 0 < sum(row.n for row in rows if row.i >= 0) < sum(row["all"] for row in rows if row.i >= 0) / 2
+
+
+def test_refline_rules_look_at_picked_lines_only_and_find_the_same(spark):
+    kept = d.with_document(odd_pages(spark), keep=text.REFLINE_KEEP, picks=refline.PICKS, joined=("page_text",))
+    lines, labels, at, title = F.col("lines"), F.col("labels"), F.col("at"), F.lit("Titre")
+    rows = kept.select(
+        refline.location(lines, labels, title, at["placed"], at["sections"]).alias("picked"), refline.location(lines, labels, title).alias("whole"),
+        "page_text", d.joined_text(F.col("pieces"), " ").alias("joined")).collect()
+    assert all(row.picked == row.whole and row.page_text == row.joined for row in rows)
+    assert len({row.picked.location_raw for row in rows}) > 3
+
+
+def test_elements_that_are_not_carried_are_passed_over_and_the_others_the_same():
+    pages = [
+        "", "a &amp; <b>b</b>", "<div><a href='/x'>t</a></div>", "<div><a>t</div>u", "<a>t<b>u</b></a>", "<a><b>u</b></a><p>v", "<a><a>x</a></b>y</a>",
+        "<li><a>x</li>y", "<a>x</b>y</a>", "<a> </a><a><!-- c -->t</a><a><img src='/i'></a>", "<a/>x<a>", "<pre> <a> </a></pre>", "<a><template>t</template></a>",
+        "<script>'<a>'</script><a><style>x</style>y</a>", "<p class='x>y'>t</p><a>u</a>", "<A HREF=\"/x?a&amp;b\" class=\" c  d \">&lt;a&gt;</A>", "x < y", "<a",
+    ]
+    for tags in (frozenset(("a",)), frozenset(("a", "img", "*"))):
+        for html in pages:
+            sparse, plain = (read(html, d.RULE_ATTRIBUTES, tags) for read in (reader.read_sparse, reader.read_plain))
+            assert sparse in (None, plain), html
+        assert sum(reader.read_sparse(html, d.RULE_ATTRIBUTES, tags) is None for html in pages) <= 9
