@@ -230,3 +230,21 @@ def test_elements_that_are_not_carried_are_passed_over_and_the_others_the_same()
             sparse, plain = (read(html, d.RULE_ATTRIBUTES, tags) for read in (reader.read_sparse, reader.read_plain))
             assert sparse in (None, plain), html
         assert sum(reader.read_sparse(html, d.RULE_ATTRIBUTES, tags) is None for html in pages) <= 9
+
+
+def test_wanted_fields_are_those_of_the_whole_record(spark):
+    pages = odd_pages(spark, 40).selectExpr("i AS page_id", "concat('https://x.example/a/', i) AS url", "html", "CAST(day AS TIMESTAMP) AS fetched_at")
+    groups = {
+        refline: (["transaction_type"], ["image_urls", "image_count"], ["criteria", "surface"], ["location_raw", "city", "description"]),
+        portal: (["price_raw", "currency"], ["title"], ["criteria", "floor", "date_posted"], ["location_raw", "description"]),
+    }
+    for plan, wanted in groups.items():
+        whole = {row.seq: row for row in plan.extract(pages, validate=False).collect()}
+        for fields in wanted:
+            rows = plan.extract(pages, validate=False, fields=["seq", *fields])
+            assert set(rows.columns) == {"seq", *fields}
+            got = rows.collect()
+            assert len(got) == len(whole) and all(row[f] == whole[row.seq][f] for row in got for f in fields), (plan.__name__, fields)
+    # what makes no wanted field is not read
+    kept = plan.extract(pages, validate=False, fields=["title"])._jdf.queryExecution().analyzed().toString()
+    assert "labels:array" not in kept and "label_text:string" not in kept
