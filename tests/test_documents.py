@@ -4,7 +4,7 @@ from itertools import accumulate
 
 from pyspark.sql import functions as F
 
-from listwright.functions import text
+from listwright.functions import text, urls
 from listwright.operators import document as d
 from listwright.operators import links, reader
 from listwright.plans import classifieds, portal, refline
@@ -248,3 +248,24 @@ def test_wanted_fields_are_those_of_the_whole_record(spark):
     # what makes no wanted field is not read
     kept = plan.extract(pages, validate=False, fields=["title"])._jdf.queryExecution().analyzed().toString()
     assert "labels:array" not in kept and "label_text:string" not in kept
+
+
+def test_links_without_paging_are_the_same_and_need_no_texts(spark):
+    pages = [
+        '<a href="/annonce/bien-1#photos">lien</a><a href="/annonce/./x">y</a><a href="/fr/a/7/bien">z</a><a href="#">&gt;</a>',
+        '<a href="/annonce/a?b=1#c&#10;d">x</a><a href="annonce/b">x</a><a href="//h/annonce/c">x</a><a href=\'>/annonce/d\'>x</a>',
+        "<a href=/annonce/odd>x</a><template><a href='/annonce/e'>x</a></template>", "", None,
+    ]
+    df = spark.createDataFrame([(i, 1, html) for i, html in enumerate(pages)], "i int, page_no int, html string")
+    for profile in ("refline", "portal", "classifieds"):
+        whole, alone = (links.read_result_pages(df, profile, paging=paging).orderBy("i") for paging in (True, False))
+        assert "has_next" not in alone.columns
+        assert [row.links for row in whole.collect()] == [row.links for row in alone.collect()]
+    assert "has_next" in whole.columns
+
+
+def test_root_paths_are_resolved_at_once_as_other_links_are(one):
+    # the slow way of the same link: its dot segment goes away
+    for tail in ("", "?q=a/b", "#top", "?q=1#top", "/"):
+        assert one(lambda c: urls.resolve_url(c, "https://h.example"), f"/x/y{tail}") == f"https://h.example/x/y{tail}"
+        assert one(lambda c: urls.resolve_url(c, "https://h.example"), f"/x/./y{tail}") == f"https://h.example/x/y{tail}"
