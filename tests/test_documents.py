@@ -269,3 +269,12 @@ def test_root_paths_are_resolved_at_once_as_other_links_are(one):
     for tail in ("", "?q=a/b", "#top", "?q=1#top", "/"):
         assert one(lambda c: urls.resolve_url(c, "https://h.example"), f"/x/y{tail}") == f"https://h.example/x/y{tail}"
         assert one(lambda c: urls.resolve_url(c, "https://h.example"), f"/x/./y{tail}") == f"https://h.example/x/y{tail}"
+
+
+def test_pages_with_most_elements_carried_are_read_once(monkeypatch):
+    calls = []
+    monkeypatch.setattr(reader, "read_sparse", lambda *args: calls.append(args))
+    for tags, times in ((frozenset(("a", "*")), 0), (None, 0), (frozenset(("a",)), 1)):
+        calls.clear()
+        assert reader.read_page("<p class='x'>t</p>", d.RULE_ATTRIBUTES, tags)[0] == ["t"]
+        assert len(calls) == times
